@@ -1,17 +1,21 @@
 """Porter stemming of token arrays (M. F. Porter, 1980, with the usual later amendments).
 
 The algorithm is rule by rule string rewriting that built-in functions cannot
-express; it runs as a vectorised UDF with a cache of the words already seen.
+express; it runs as a vectorised UDF that stems each word of a batch once.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# send this module's functions to the workers whole: executors need no installed copy
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIN_STEMMED_LENGTH = 4
 
 # --- fixed values: suffix rules of the published algorithm, longest match first ---
@@ -120,7 +124,6 @@ def _tidy(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
     if word in IRREGULAR:
         return IRREGULAR[word]
@@ -133,7 +136,9 @@ def stem(word: str) -> str:
 
 @F.pandas_udf("array<string>")
 def _stem_arrays(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda ts: [stem(t) if len(t) >= MIN_STEMMED_LENGTH else t for t in ts])
+    words = {t for ts in tokens for t in ts}
+    stems = {t: stem(t) if len(t) >= MIN_STEMMED_LENGTH else t for t in words}
+    return tokens.map(lambda ts: [stems[t] for t in ts])
 
 
 def stem_tokens(tokens: Column) -> Column:

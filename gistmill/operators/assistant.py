@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions import text as tx
-from ..functions.exprs import fill_template
+from ..functions.exprs import fill_template, once
 from .local_summary import best_sentences, local_summary
 from .skew import salted_join
 
@@ -71,7 +71,7 @@ def parse_commands(log: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFr
     line = tx.strip_space(F.col("line"))
     word = F.substring_index("line", " ", 1)
     rest = F.substring("line", F.length(word) + 2, F.length("line"))
-    split = log.withColumn("line", line).filter(F.length("line") > 0).select(
+    split = once(log, line=line).filter(F.length("line") > 0).select(
         "session", "turn", word.alias("word"), rest.alias("argument")
     )
     with_choice = {"/style": list(texts.styles), "/length": list(texts.lengths)}

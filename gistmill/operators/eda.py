@@ -85,7 +85,9 @@ def zipf_rank(ranged: DataFrame) -> DataFrame:
 # --- histograms --------------------------------------------------------------------
 def _clipped_counts(values: DataFrame, value: Column, cap: int, *keys: str) -> DataFrame:
     """Rows per clipped whole number: at most ``cap`` + 1 rows for each key."""
-    clipped = values.select(*keys, F.least(value, F.lit(cap)).cast("long").alias("v")).dropna(subset=["v"])
+    # least() skips NULLs, so they go first
+    present = values.select(*keys, value.alias("v")).dropna(subset=["v"])
+    clipped = present.select(*keys, F.least("v", F.lit(cap)).cast("long").alias("v"))
     return clipped.groupBy(*keys, "v").agg(F.count("*").alias("n"))
 
 

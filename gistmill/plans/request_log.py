@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import fill_template
+from ..functions.exprs import fill_template, once
 
 # the n-th entry is the line of the turns with (conv_id + turn) % 10 = n;
 # {conv} is the conversation id, {split} the split of the document with that id, {text} the turn's text
@@ -41,9 +41,7 @@ def from_conversations(spark: SparkSession, path: str) -> DataFrame:
     turns = spark.read.parquet(path).select("conv_id", "turn", "text")
     split = F.when(F.col("conv_id") % 10 < 7, "training").otherwise("test")
     values = {"conv": F.col("conv_id").cast("string"), "split": split, "text": F.col("text")}
-    place = (F.col("conv_id") + F.col("turn")) % len(LINES)
-    line = F.lit(None).cast("string")
-    for n in range(len(LINES)):
-        first, second = fill_template(LINES[n], values), fill_template(SECOND_LINES[n], values)
-        line = F.when(place == n, F.when(F.col("conv_id") % 3 == 0, second).otherwise(first)).otherwise(line)
-    return turns.select(F.col("conv_id").alias("session"), "turn", line.alias("line"))
+    place = ((F.col("conv_id") + F.col("turn")) % len(LINES)).cast("int")
+    first, second = (F.array(*[fill_template(t, values) for t in lines]) for lines in (LINES, SECOND_LINES))
+    line = F.get(F.when(F.col("conv_id") % 3 == 0, second).otherwise(first), place)
+    return once(turns, line=line).select(F.col("conv_id").alias("session"), "turn", "line")
