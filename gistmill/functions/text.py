@@ -74,7 +74,8 @@ def blank_to_null(text: Column) -> Column:
 # --- cleaning ----------------------------------------------------------------
 def drop_wire_tags(text: Column) -> Column:
     without_tickers = F.regexp_replace(text, fv.TICKER_TAG, "")
-    return F.regexp_replace(without_tickers, fv.ANGLE_WRAP, "$1")
+    unwrapped = F.regexp_replace(without_tickers, fv.ANGLE_WRAP, "$1")
+    return F.when(F.contains(text, F.lit("<")), unwrapped).otherwise(text)
 
 
 def clean_text(text: Column, signature: str = fv.SIGNATURE) -> Column:
@@ -88,7 +89,11 @@ def strip_control(text: Column) -> Column:
 
 
 def redact_personal_data(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, fv.EMAIL, "[EMAIL]"), fv.PHONE, "[PHONE]")
+    # most texts have no address, and looking for the sign is far cheaper than the pattern
+    without_mail = F.when(
+        F.contains(text, F.lit("@")), F.regexp_replace(text, fv.EMAIL, "[EMAIL]")
+    ).otherwise(text)
+    return F.regexp_replace(without_mail, fv.PHONE, "[PHONE]")
 
 
 def sanitise(text: Column, max_chars: int = fv.PROMPT_DOCUMENT_CHARS) -> Column:

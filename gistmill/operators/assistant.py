@@ -99,7 +99,7 @@ def resolve_documents(commands: DataFrame, raw: DataFrame) -> DataFrame:
     )
 
 
-def session_state(resolved: DataFrame, block_turns: int = 1024) -> DataFrame:
+def session_state(resolved: DataFrame, block_turns: int = 65_536) -> DataFrame:
     """State in force at each row, the row's own change included.
 
     The latest value of each field is carried forward in two steps: inside blocks

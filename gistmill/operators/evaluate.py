@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,40 +42,50 @@ def by_model(summaries: DataFrame, models: Mapping[str, str] = MODELS) -> DataFr
 
 
 def tokenised(long: DataFrame, stemmed: bool = False) -> DataFrame:
-    """Adds ``reference`` (headline) and ``candidate`` (summary) tokens."""
+    """(doc_id, model, reference, candidate): headline and summary tokens."""
 
     def tokens(text: Column) -> Column:
         words = tk.rouge_tokens(text)
         return stem_tokens(words) if stemmed else words
 
-    named = long.select("*", tokens(F.col("title")).alias("ref"), tokens(F.col("summary")).alias("cand"))
-    return once(named, reference=F.col("ref"), candidate=F.col("cand")).drop("ref", "cand")
+    return long.select(
+        "doc_id", "model", tokens(F.col("title")).alias("reference"), tokens(F.col("summary")).alias("candidate")
+    )
 
 
-def rouge_n(tokens: DataFrame, n: int) -> DataFrame:
-    """(doc_id, model, recall): headline n-grams found in the summary, each at most as often as it occurs.
+def rouge_n(tokens: DataFrame, sizes: Sequence[int] = (1, 2)) -> DataFrame:
+    """(doc_id, model, n, recall): headline n-grams found in the summary, each at most as often as it occurs.
 
-    Both sides are counted in one grouping by n-gram, linear in the text length.
+    All sizes and both sides are counted in one grouping by n-gram, linear in the text length.
     """
 
-    def tagged(side: Column, in_reference: int) -> Column:
+    def tagged(side: str, n: int) -> Column:
+        in_reference = int(side == "reference")
         return F.transform(
-            ngrams(side, n),
+            ngrams(F.col(side), n),
             lambda g: F.struct(
-                g.alias("gram"), F.lit(in_reference).alias("ref"), F.lit(1 - in_reference).alias("cand")
+                F.lit(n).alias("n"), g.alias("gram"),
+                F.lit(in_reference).alias("ref"), F.lit(1 - in_reference).alias("cand"),
             ),
         )
 
-    grams = tokens.select(
-        "doc_id", "model",
-        F.inline_outer(F.concat(tagged(F.col("reference"), 1), tagged(F.col("candidate"), 0))),
+    # an entry without a gram keeps pairs that have no n-gram at all
+    blank = F.array(*[
+        F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"),
+                 F.lit(0).alias("ref"), F.lit(0).alias("cand"))
+        for n in sizes
+    ])
+    listed = F.concat(blank, *[tagged(side, n) for n in sizes for side in ("reference", "candidate")])
+    counted = (
+        tokens.select("doc_id", "model", F.inline(listed))
+        .groupBy("doc_id", "model", "n", "gram")
+        .agg(F.sum("ref").alias("ref"), F.sum("cand").alias("cand"))
     )
-    counted = grams.groupBy("doc_id", "model", "gram").agg(F.sum("ref").alias("ref"), F.sum("cand").alias("cand"))
-    sums = counted.groupBy("doc_id", "model").agg(
+    sums = counted.groupBy("doc_id", "model", "n").agg(
         F.sum(F.least("ref", "cand")).alias("hits"), F.sum("ref").alias("total")
     )
     recall = F.when(F.col("total") > 0, F.col("hits") / F.col("total")).otherwise(0.0)
-    return sums.select("doc_id", "model", recall.alias("recall"))
+    return sums.select("doc_id", "model", "n", recall.alias("recall"))
 
 
 def rouge_l(tokens: DataFrame) -> DataFrame:
@@ -100,21 +110,23 @@ def compression(long: DataFrame) -> DataFrame:
     return long.select("doc_id", "model", words.alias("words"), (words / F.col("n_words")).alias("ratio"))
 
 
-def compare_models(long: DataFrame, stemmed: bool = True) -> DataFrame:
+def compare_models(long: DataFrame, tokens: DataFrame) -> DataFrame:
     """Mean of each measure per split and model, rounded to three decimals.
 
-    ``long`` is ``by_model`` output with keywords; the split is read off the
+    ``long`` is ``by_model`` output with keywords and ``tokens`` its ``tokenised``
+    form, best a written table as it is read twice.  The split is read off the
     document id.  Every measure is reduced to its means first, so only a handful
     of rows are joined.
     """
-    tokens = tokenised(long, stemmed)
     sizes = compression(long)
     means = [
-        _means(rouge_n(tokens, 1), ROUGE1_R="recall"),
-        _means(rouge_n(tokens, 2), ROUGE2_R="recall"),
+        _means(sizes, AvgSummaryWords="words", CompressionRatio="ratio"),
+        _means(
+            rouge_n(tokens),
+            ROUGE1_R=F.when(F.col("n") == 1, F.col("recall")), ROUGE2_R=F.when(F.col("n") == 2, F.col("recall")),
+        ),
         _means(rouge_l(tokens), ROUGEL_R="recall"),
         _means(coverage(long), KeyTermCoverage="coverage"),
-        _means(sizes, AvgSummaryWords="words", CompressionRatio="ratio"),
     ]
     table = sizes.groupBy(*_split_and_model()).agg(F.count("*").alias("n_docs"))
     for mean in means:
@@ -126,6 +138,6 @@ def _split_and_model() -> list[Column]:
     return [F.split_part("doc_id", F.lit("_"), F.lit(1)).alias("split"), F.col("model").alias("Model")]
 
 
-def _means(measure: DataFrame, **columns: str) -> DataFrame:
+def _means(measure: DataFrame, **columns: str | Column) -> DataFrame:
     averages = [F.round(F.avg(column), 3).alias(name) for name, column in columns.items()]
     return measure.groupBy(*_split_and_model()).agg(*averages)

@@ -1,78 +1,43 @@
 """Graph ranking of the sentences of each document.
 
-The similarity of two sentences is the cosine of their tf-idf vectors.  The
-n x n matrix is never formed: with the sentence vectors as rows of X, a product
-with S = X X' - diag is two sparse products, X (X' y) - diag * y.  Memory and
-work per round follow the number of (sentence, term) entries, so a document of
-thousands of sentences that all share a word costs no more than its text.
+The similarity of two sentences is the cosine of their tf-idf vectors.  Spark
+builds the vectors, document by document in the buckets they lie in.  The n x n
+similarity matrix S = X X' - diag is never formed, nor are sentence pairs: a
+product with S is two sparse products with X, so work and memory follow the
+number of (sentence, term) entries, whatever share of the sentences a term links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions import tokens as tk
-from ..functions.exprs import let, once
+from ..functions.graph import graph_ranks
 from .sentences import join_picked
 from .weights import smoothed_idf
 
 
 def sentence_vectors(docs: DataFrame, stop_words: Sequence[str] = fv.ENGLISH_STOP_WORDS) -> DataFrame:
-    """(doc_id, n_sentences, sent_idx, term, df, x): unit-length tf-idf vectors, idf within the document."""
+    """(doc_id, n_sentences, sent_idx, term, term_no, df, x): unit tf-idf vectors, idf within the document."""
     rows = docs.select("doc_id", "n_sentences", F.posexplode("sentences").alias("sent_idx", "sentence"))
     terms = rows.select(
         "doc_id", "n_sentences", "sent_idx", F.explode(tk.word_runs(F.col("sentence"), stop_words)).alias("term")
     )
     tf = terms.groupBy("doc_id", "n_sentences", "sent_idx", "term").agg(F.count("*").alias("tf"))
-    counted = tf.withColumn("df", F.count("*").over(W.partitionBy("doc_id", "term")))
+    # both windows share one sort by (doc_id, term)
+    counted = tf.withColumn("df", F.count("*").over(W.partitionBy("doc_id", "term"))).withColumn(
+        "term_no", F.dense_rank().over(W.partitionBy("doc_id").orderBy("term")) - 1
+    )
     weighted = counted.withColumn("w", F.col("tf") * smoothed_idf(F.col("n_sentences"), F.col("df")))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc_id", "sent_idx")))
-    return weighted.select("doc_id", "n_sentences", "sent_idx", "term", "df", (F.col("w") / norm).alias("x"))
-
-
-def sentence_graph(vectors: DataFrame) -> DataFrame:
-    """One row per document with X stored by sentence (``rows``) and by term (``cols``).
-
-    Only terms used by two sentences or more link anything; sentences without
-    such a term stay out of the graph.  Array positions are the dense numbers
-    ``s`` (sentence) and ``t`` (term); ``nodes`` maps ``s`` to sent_idx.
-    """
-    linking = (
-        vectors.filter(F.col("df") >= 2)
-        .withColumn("t", F.dense_rank().over(W.partitionBy("doc_id").orderBy("term")) - 1)
-        .withColumn("s", F.dense_rank().over(W.partitionBy("doc_id").orderBy("sent_idx")) - 1)
+    return weighted.select(
+        "doc_id", "n_sentences", "sent_idx", "term", "term_no", "df", (F.col("w") / norm).alias("x")
     )
-    entries = linking.groupBy("doc_id").agg(
-        F.sort_array(F.collect_set("sent_idx")).alias("nodes"),
-        F.array_sort(F.collect_list(F.struct("s", "t", "x"))).alias("by_sentence"),
-        F.array_sort(F.collect_list(F.struct("t", "s", "x"))).alias("by_term"),
-    )
-    grouped = once(entries, rows=_runs(F.col("by_sentence"), "s"), cols=_runs(F.col("by_term"), "t"))
-    own = F.transform("rows", lambda row: _sum(row, lambda e: e["x"] * e["x"]))
-    with_own = once(grouped.select("doc_id", "nodes", "rows", "cols"), own=own)
-    ones = F.transform("rows", lambda _: F.lit(1.0))
-    return once(with_own, mass=_similarity_product(ones))
-
-
-def rank_vector(damping: float = fv.DAMPING, rounds: int = fv.RANK_ROUNDS) -> Column:
-    """Ranks of the ``nodes`` after ``rounds`` of power iteration over a graph row.
-
-    Needs ``n_sentences`` beside the graph columns; a sentence outside the graph
-    keeps the base rank.
-    """
-    base = (1 - damping) / F.col("n_sentences")
-    start = F.transform("rows", lambda _: 1 / F.col("n_sentences"))
-
-    def one_round(rank: Column, _: Column) -> Column:
-        share = F.zip_with(rank, "mass", lambda r, m: F.when(m > 0, r / m).otherwise(0.0))
-        return let(share, lambda y: F.transform(_similarity_product(y), lambda p: base + damping * p))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, one_round)
 
 
 def textrank(
@@ -81,79 +46,43 @@ def textrank(
     damping: float = fv.DAMPING,
     rounds: int = fv.RANK_ROUNDS,
 ) -> DataFrame:
-    """(doc_id, sentences, n_sentences, nodes, mass, ranks) for every document."""
-    graph = sentence_graph(sentence_vectors(docs, stop_words))
-    joined = docs.select("doc_id", "n_sentences", "sentences").join(graph, "doc_id", "left")
-    return once(joined, ranks=rank_vector(damping, rounds)).select(
-        "doc_id", "n_sentences", "sentences", "nodes", "mass", "ranks"
-    )
-
-
-def sentence_ranks(ranked: DataFrame, damping: float = fv.DAMPING) -> DataFrame:
-    """(doc_id, sent_idx, similarity, rank) for every sentence; similarity is the sum to all others."""
-    base = (1 - damping) / F.col("n_sentences")
-    listed = F.concat(_graph_sentences(), _other_sentences(base))
-    return ranked.select("doc_id", F.inline(listed)).select("doc_id", "sent_idx", "similarity", "rank")
-
+    """(doc_id, sentences, similarity, ranks): arrays with one entry for each sentence.
 
-def textrank_summary(ranked: DataFrame, k: int = fv.SUMMARY_SENTENCES, damping: float = fv.DAMPING) -> DataFrame:
-    """The ``k`` best ranked sentences of each document in their original order.
-
-    Without any linking term all ranks tie, which leaves the first ``k`` sentences.
+    ``similarity`` is the sum to all other sentences.  Only terms used by two
+    sentences or more link anything; without any, all ranks are the base rank.
     """
-    base = (1 - damping) / F.col("n_sentences")
-    listed = F.concat(_graph_sentences(), _other_sentences(base))
-    order = F.transform(
-        listed, lambda e: F.struct((-F.round(e["rank"], 9)).alias("key"), e["sent_idx"].alias("sent_idx"))
+    linking = sentence_vectors(docs, stop_words).filter(F.col("df") >= 2)
+    entry = F.struct("sent_idx", "term_no", "x")
+    graph = linking.groupBy("doc_id", "n_sentences").agg(F.collect_list(entry).alias("entries"))
+    solved = graph.select(
+        "doc_id",
+        graph_ranks(
+            F.col("n_sentences"), F.col("entries.sent_idx"), F.col("entries.term_no"), F.col("entries.x"),
+            damping, rounds,
+        ).alias("solved"),
     )
-    best = F.slice(F.array_sort(order), 1, k)
-    picked = F.sort_array(F.transform(best, lambda e: e["sent_idx"]))
-    return ranked.select("doc_id", join_picked(F.col("sentences"), picked).alias("textrank_summary"))
-
-
-def _graph_sentences() -> Column:
-    nodes = F.coalesce("nodes", F.array().cast("array<int>"))
-    return F.transform(
-        nodes,
-        lambda node, s: F.struct(
-            node.alias("sent_idx"), F.get("mass", s).alias("similarity"), F.get("ranks", s).alias("rank")
-        ),
-    )
-
-
-def _other_sentences(base: Column) -> Column:
-    everyone = F.sequence(F.lit(0), F.col("n_sentences") - 1)
-    outside = F.array_except(everyone, F.coalesce("nodes", F.array().cast("array<int>")))
-    return F.transform(
-        outside, lambda i: F.struct(i.alias("sent_idx"), F.lit(0.0).alias("similarity"), base.alias("rank"))
+    base = (1 - damping) / F.col("n_sentences")
+    return docs.select("doc_id", "n_sentences", "sentences").join(solved, "doc_id", "left").select(
+        "doc_id", "sentences",
+        F.coalesce("solved.similarity", F.transform("sentences", lambda _: F.lit(0.0))).alias("similarity"),
+        F.coalesce("solved.rank", F.transform("sentences", lambda _: base)).alias("ranks"),
     )
 
 
-def _sum(entries: Column, value) -> Column:
-    return F.aggregate(entries, F.lit(0.0), lambda total, e: total + value(e))
-
+def sentence_ranks(ranked: DataFrame) -> DataFrame:
+    """(doc_id, sent_idx, similarity, rank) for every sentence."""
+    both = F.arrays_zip("similarity", F.col("ranks").alias("rank"))
+    rows = ranked.select("doc_id", F.posexplode(both).alias("sent_idx", "r"))
+    return rows.select("doc_id", "sent_idx", "r.similarity", "r.rank")
 
-def _similarity_product(y: Column) -> Column:
-    """S y for the graph columns ``rows``, ``cols`` and ``own`` (squared row lengths)."""
-    by_term = F.transform("cols", lambda col: _sum(col, lambda e: e["x"] * F.get(y, e["s"])))
-    return let(
-        by_term,
-        lambda z: F.transform(
-            "rows",
-            lambda row, s: _sum(row, lambda e: e["x"] * F.get(z, e["t"])) - F.get("own", s) * F.get(y, s),
-        ),
-    )
 
+def textrank_summary(ranked: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
+    """The ``k`` best ranked sentences of each document in their original order.
 
-def _runs(entries: Column, field: str) -> Column:
-    """Cut a sorted array of structs where ``field`` changes."""
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(entries) - 1),
-        lambda i: (i == 0) | (F.get(entries, i)[field] != F.get(entries, i - 1)[field]),
-    )
-    return let(
-        starts,
-        lambda st: F.transform(
-            st, lambda i, q: F.slice(entries, i + 1, F.coalesce(F.get(st, q + 1), F.size(entries)) - i)
-        ),
-    )
+    Ranks equal to nine decimals tie and the earlier sentence wins, so a document
+    without links is summarised by its first ``k`` sentences.
+    """
+    keyed = F.transform("ranks", lambda r, i: F.struct((-F.round(r, 9)).alias("key"), i.alias("sent_idx")))
+    best = F.slice(F.array_sort(keyed), 1, k)
+    picked = F.sort_array(best["sent_idx"])
+    return ranked.select("doc_id", join_picked(F.col("sentences"), picked).alias("textrank_summary"))

@@ -168,12 +168,12 @@ TABLES: dict[str, tuple[list[str], str]] = {
         SELECT doc_id, n_sentences, i AS node, 0 AS round, 1 / n_sentences AS rank FROM mass
         UNION ALL
         SELECT m.doc_id, m.n_sentences, m.j, any_value(r.round) + 1,
-               0.15::DOUBLE / m.n_sentences + 0.85::DOUBLE * sum(m.p * r.rank)
+               (1 - 0.85::DOUBLE) / m.n_sentences + 0.85::DOUBLE * sum(m.p * r.rank)
         FROM rounds r JOIN moves m ON r.doc_id = m.doc_id AND r.node = m.i
         WHERE r.round < 50 GROUP BY m.doc_id, m.n_sentences, m.j"""),
     "ranks": (["rounds", "mass", "sent"], """
         SELECT s.doc_id, s.sent_idx, s.sentence, coalesce(m.mass, 0) AS similarity,
-               coalesce(r.rank, 0.15::DOUBLE / s.n_sentences) AS rank
+               coalesce(r.rank, (1 - 0.85::DOUBLE) / s.n_sentences) AS rank
         FROM sent s
         LEFT JOIN mass m ON m.doc_id = s.doc_id AND m.i = s.sent_idx
         LEFT JOIN rounds r ON r.doc_id = s.doc_id AND r.node = s.sent_idx AND r.round = 50"""),
@@ -427,8 +427,9 @@ ORACLES: dict[str, str] = {
         "SELECT * EXCLUDE (overlap, overlap_rank) FROM features", "tfidf_norm", "cap_ratio", "rel_pos", "tfidf_pct"),
         "features"),
     "summary_table": _with("SELECT * REPLACE (array_to_string(keywords, ' ') AS keywords) FROM summaries", "summaries"),
-    "rouge_1": _with(_rounded(_grams(1), "recall"), "rtok"),
-    "rouge_2": _with(_rounded(_grams(2), "recall"), "rtok"),
+    "rouge_ngram": _with(
+        f"SELECT * REPLACE (round(recall, 6) AS recall), 1::BIGINT AS n FROM ({_grams(1)}) UNION ALL "
+        f"SELECT * REPLACE (round(recall, 6) AS recall), 2::BIGINT AS n FROM ({_grams(2)})", "rtok"),
     "rouge_lcs": _with(_rounded("SELECT * FROM lcs", "recall"), "lcs"),
     "keyterm_coverage": _with(_rounded("SELECT * FROM coverage", "coverage"), "coverage"),
     "compression": _with(_rounded("SELECT * FROM sizes", "ratio"), "sizes"),

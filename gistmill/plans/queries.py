@@ -43,12 +43,12 @@ def comparable(df: DataFrame) -> DataFrame:
 # --- loading and cleaning ------------------------------------------------------
 @query
 def ingest_title_body(ws: Workspace) -> DataFrame:
-    return corpus.ingest(corpus.read_documents(ws.spark, ws.input("documents")))
+    return corpus.ingest(corpus.spread(corpus.read_documents(ws.spark, ws.input("documents"))))
 
 
 @query
 def decode_entities(ws: Workspace) -> DataFrame:
-    pages = ws.spark.read.parquet(ws.input("pages"))
+    pages = corpus.spread(ws.spark.read.parquet(ws.input("pages")))
     return pages.select("page_id", tx.decode_entities(F.col("html")).alias("decoded"))
 
 
@@ -165,7 +165,7 @@ def summary_tfidf(ws: Workspace) -> DataFrame:
 
 @query
 def textrank_vectors(ws: Workspace) -> DataFrame:
-    return textrank.sentence_vectors(ws.docs)
+    return textrank.sentence_vectors(ws.docs).drop("term_no")
 
 
 @query
@@ -228,28 +228,19 @@ def summary_table_gbt(ws: Workspace) -> DataFrame:
     return ws.all_summaries.withColumn("keywords", F.array_join("keywords", " "))
 
 
-def _tokens(ws: Workspace, stemmed: bool = False) -> DataFrame:
-    return evaluate.tokenised(evaluate.by_model(ws.summaries), stemmed)
-
-
-@query
-def rouge_1(ws: Workspace) -> DataFrame:
-    return evaluate.rouge_n(_tokens(ws), 1)
-
-
 @query
-def rouge_2(ws: Workspace) -> DataFrame:
-    return evaluate.rouge_n(_tokens(ws), 2)
+def rouge_ngram(ws: Workspace) -> DataFrame:
+    return evaluate.rouge_n(ws.tokens)
 
 
 @query
-def rouge_1_stemmed(ws: Workspace) -> DataFrame:
-    return evaluate.rouge_n(_tokens(ws, stemmed=True), 1)
+def rouge_ngram_stemmed(ws: Workspace) -> DataFrame:
+    return evaluate.rouge_n(ws.stemmed_tokens)
 
 
 @query
 def rouge_lcs(ws: Workspace) -> DataFrame:
-    return evaluate.rouge_l(_tokens(ws))
+    return evaluate.rouge_l(ws.tokens)
 
 
 @query
@@ -264,19 +255,18 @@ def compression(ws: Workspace) -> DataFrame:
 
 @query
 def model_comparison(ws: Workspace) -> DataFrame:
-    return evaluate.compare_models(evaluate.by_model(ws.summaries), stemmed=False)
+    return evaluate.compare_models(evaluate.by_model(ws.summaries), ws.tokens)
 
 
 @query
 def model_comparison_stemmed(ws: Workspace) -> DataFrame:
-    return evaluate.compare_models(evaluate.by_model(ws.all_summaries), stemmed=True)
+    return evaluate.compare_models(evaluate.by_model(ws.all_summaries), ws.stemmed_tokens)
 
 
 # --- redaction and the assistant -----------------------------------------------------
 @query
 def sanitise_documents(ws: Workspace) -> DataFrame:
-    documents = ws.spark.read.parquet(ws.input("documents"))
-    return documents.select(
+    return ws.documents().select(
         "doc_id", tx.sanitise(F.col("text")).alias("safe_text"), tx.fingerprint(F.col("text")).alias("doc_sha256")
     )
 

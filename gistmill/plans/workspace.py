@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import assistant, clean, eda, evaluate, learner, sentences, textrank, weights
 from ..session import shared_folder
-from ..sources import ingest, read_documents
+from ..sources import ingest, input_bytes, read_documents, spread
 from . import request_log
 
 BUCKET_BYTES = 64 << 20
@@ -58,15 +58,17 @@ class Workspace:
     @cached_property
     def buckets(self) -> int:
         """Enough buckets for the input bytes, at least one per core, at most what the session allows."""
-        documents = self.spark.read.parquet(self.input("documents"))
-        size = documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        wanted = max(self.spark.sparkContext.defaultParallelism, math.ceil(int(str(size)) / self.bucket_bytes))
+        size = input_bytes(self.spark.read.parquet(self.input("documents")))
+        wanted = max(self.spark.sparkContext.defaultParallelism, math.ceil(size / self.bucket_bytes))
         return min(wanted, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
     def input(self, table: str) -> str:
         return f"{self.input_dir}/{table}.parquet"
 
     # --- stages ----------------------------------------------------------------
+    def documents(self) -> DataFrame:
+        return spread(self.spark.read.parquet(self.input("documents")))
+
     @cached_property
     def raw(self) -> DataFrame:
         """doc_id, split, category, title, text of every article."""
@@ -129,7 +131,17 @@ class Workspace:
     def all_summaries(self) -> DataFrame:
         """The summaries with those of the classifier, which exist for test documents only."""
         learned = learner.gbt_summary(self.predictions, self.docs)
-        return self.write(self.summaries.join(learned, "doc_id", "left"), "all_summaries")
+        return self.write_bucketed(self.summaries.join(learned, "doc_id", "left"), "all_summaries")
+
+    @cached_property
+    def tokens(self) -> DataFrame:
+        pairs = evaluate.by_model(self.summaries)
+        return self.write_bucketed(evaluate.tokenised(pairs), "tokens")
+
+    @cached_property
+    def stemmed_tokens(self) -> DataFrame:
+        pairs = evaluate.by_model(self.all_summaries)
+        return self.write_bucketed(evaluate.tokenised(pairs, stemmed=True), "stemmed_tokens")
 
     @cached_property
     def ranged_words(self) -> DataFrame:

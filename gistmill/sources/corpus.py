@@ -10,6 +10,9 @@ from ..functions.exprs import once
 from ..schemas import RAW
 
 
+FULL_SPLIT_BYTES = 128 << 20
+
+
 def read_article_files(spark: SparkSession, path: str, root: str, labels: DataFrame | None = None) -> DataFrame:
     """Articles stored one per file; the id is the path below ``root``.
 
@@ -68,6 +71,22 @@ def ingest(articles: DataFrame, decode: bool = True, partitions: int | None = No
     return once(cut, title=tx.blank_to_null(title), text=tx.blank_to_null(text))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Spark's estimate of the size of ``df``; for a plain file scan the size of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores; a large one is returned as it is.
+
+    Files of one row group cannot be split, and text functions are heavy enough
+    to keep one core busy while the others wait.  An input that fills every core
+    with a split of full size is never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if input_bytes(df) < cores * FULL_SPLIT_BYTES else df
+
+
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, quoted line breaks and doubled quotes; all columns are strings.
 
