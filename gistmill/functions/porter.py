@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # send this module's functions to the workers whole: executors need no installed copy
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -134,7 +135,7 @@ def stem(word: str) -> str:
     return _tidy(_drop_suffix(_replace_suffix(word, STEP_3)))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _stem_arrays(tokens: pd.Series) -> pd.Series:
     words = {t for ts in tokens for t in ts}
     stems = {t: stem(t) if len(t) >= MIN_STEMMED_LENGTH else t for t in words}

@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixed_values as fv
 
@@ -31,7 +32,7 @@ def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, f"^{fv.UNICODE_SPACE}+|{fv.UNICODE_SPACE}+$", "")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _decode_references(references: pd.Series) -> pd.Series:
     return references.map(lambda refs: None if refs is None else [html.unescape(r) for r in refs])
 
@@ -72,15 +73,20 @@ def blank_to_null(text: Column) -> Column:
 
 
 # --- cleaning ----------------------------------------------------------------
-def drop_wire_tags(text: Column) -> Column:
+def drop_wire_tags(text: Column, source: Column | None = None) -> Column:
+    """Drop ticker tags and unwrap other angle brackets.
+
+    ``source`` is the column ``text`` was made from.  Looking there for a bracket
+    is far cheaper than the patterns, and a plain column is not computed again.
+    """
     without_tickers = F.regexp_replace(text, fv.TICKER_TAG, "")
     unwrapped = F.regexp_replace(without_tickers, fv.ANGLE_WRAP, "$1")
-    return F.when(F.contains(text, F.lit("<")), unwrapped).otherwise(text)
+    return F.when(F.contains(text if source is None else source, F.lit("<")), unwrapped).otherwise(text)
 
 
 def clean_text(text: Column, signature: str = fv.SIGNATURE) -> Column:
     unsigned = F.regexp_replace(text, signature, "")
-    return F.trim(F.regexp_replace(drop_wire_tags(unsigned), r"\s+", " "))
+    return F.trim(F.regexp_replace(drop_wire_tags(unsigned, source=text), r"\s+", " "))
 
 
 # --- redaction ---------------------------------------------------------------
@@ -88,17 +94,17 @@ def strip_control(text: Column) -> Column:
     return F.regexp_replace(text, fv.CONTROL_CHARS, " ")
 
 
-def redact_personal_data(text: Column) -> Column:
-    # most texts have no address, and looking for the sign is far cheaper than the pattern
+def redact_personal_data(text: Column, source: Column | None = None) -> Column:
+    """Replace e-mail addresses, then phone numbers; ``source`` as in ``drop_wire_tags``."""
     without_mail = F.when(
-        F.contains(text, F.lit("@")), F.regexp_replace(text, fv.EMAIL, "[EMAIL]")
+        F.contains(text if source is None else source, F.lit("@")), F.regexp_replace(text, fv.EMAIL, "[EMAIL]")
     ).otherwise(text)
     return F.regexp_replace(without_mail, fv.PHONE, "[PHONE]")
 
 
 def sanitise(text: Column, max_chars: int = fv.PROMPT_DOCUMENT_CHARS) -> Column:
-    redacted = redact_personal_data(drop_wire_tags(strip_control(text)))
-    return F.substring(redacted, 1, max_chars)
+    untagged = drop_wire_tags(strip_control(text), source=text)
+    return F.substring(redact_personal_data(untagged, source=text), 1, max_chars)
 
 
 def fingerprint(text: Column) -> Column:

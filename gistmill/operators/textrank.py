@@ -53,19 +53,16 @@ def textrank(
     """
     linking = sentence_vectors(docs, stop_words).filter(F.col("df") >= 2)
     entry = F.struct("sent_idx", "term_no", "x")
-    graph = linking.groupBy("doc_id", "n_sentences").agg(F.collect_list(entry).alias("entries"))
-    solved = graph.select(
-        "doc_id",
-        graph_ranks(
-            F.col("n_sentences"), F.col("entries.sent_idx"), F.col("entries.term_no"), F.col("entries.x"),
-            damping, rounds,
-        ).alias("solved"),
+    graph = linking.groupBy("doc_id").agg(F.collect_list(entry).alias("entries"))
+    # join first: a bucketed join moves nothing, while Python output has no known partitioning
+    joined = docs.select("doc_id", "n_sentences", "sentences").join(graph, "doc_id", "left")
+    no_entries = F.array().cast("array<struct<sent_idx: int, term_no: int, x: double>>")
+    entries = joined.withColumn("entries", F.coalesce("entries", no_entries))
+    solved = graph_ranks(
+        F.col("n_sentences"), F.col("entries.sent_idx"), F.col("entries.term_no"), F.col("entries.x"), damping, rounds
     )
-    base = (1 - damping) / F.col("n_sentences")
-    return docs.select("doc_id", "n_sentences", "sentences").join(solved, "doc_id", "left").select(
-        "doc_id", "sentences",
-        F.coalesce("solved.similarity", F.transform("sentences", lambda _: F.lit(0.0))).alias("similarity"),
-        F.coalesce("solved.rank", F.transform("sentences", lambda _: base)).alias("ranks"),
+    return entries.withColumn("solved", solved).select(
+        "doc_id", "sentences", "solved.similarity", F.col("solved.rank").alias("ranks")
     )
 
 
