@@ -413,7 +413,7 @@ ORACLES: dict[str, str] = {
     "summary_tfidf": _with("SELECT * FROM tfidf", "tfidf"),
     "textrank_vectors": _with(_rounded("SELECT * FROM vectors", "x"), "vectors"),
     "textrank_ranks": _with(
-        "SELECT doc_id, sent_idx, round(similarity, 6) AS similarity, round(rank, 6) AS rank FROM ranks", "ranks"),
+        "SELECT doc_id, sent_idx, round(similarity, 10) AS similarity, round(rank, 10) AS rank FROM ranks", "ranks"),
     "summary_textrank": _with("SELECT * FROM textrank", "textrank"),
     "summary_local": _with(
         """SELECT t.doc_id, coalesce(string_agg(sentence, ' ' ORDER BY sent_idx), '') AS local_summary

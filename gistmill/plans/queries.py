@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,24 +19,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(build: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
-    """Register ``build`` under its name, with whole numbers as bigint and fractions to six decimals."""
+def query(build: Callable[[Workspace], DataFrame], decimals: int = 6) -> Callable[[Workspace], DataFrame]:
+    """Register ``build`` under its name, with whole numbers as bigint and fractions rounded."""
 
     def run(spark: SparkSession, input_dir: str) -> DataFrame:
-        return comparable(build(workspace(spark, input_dir)))
+        return comparable(build(workspace(spark, input_dir)), decimals)
 
     QUERIES[build.__name__] = run
     return build
 
 
-def comparable(df: DataFrame) -> DataFrame:
+def comparable(df: DataFrame, decimals: int) -> DataFrame:
     columns = []
     for name, kind in df.dtypes:
         column = F.col(name)
         if kind in ("tinyint", "smallint", "int"):
             column = column.cast("bigint")
         elif kind in ("float", "double"):
-            column = F.round(column.cast("double"), 6)
+            column = F.round(column.cast("double"), decimals)
         columns.append(column.alias(name))
     return df.select(columns)
 
@@ -168,7 +169,8 @@ def textrank_vectors(ws: Workspace) -> DataFrame:
     return textrank.sentence_vectors(ws.docs).drop("term_no")
 
 
-@query
+# ranks are often 1/n, which six decimals would cut in the middle
+@partial(query, decimals=10)
 def textrank_ranks(ws: Workspace) -> DataFrame:
     return textrank.sentence_ranks(ws.textrank)
 

@@ -9,7 +9,6 @@ A written table also survives the loss of any executor.
 
 from __future__ import annotations
 
-import math
 import uuid
 from functools import cached_property
 
@@ -18,16 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import assistant, clean, eda, evaluate, learner, sentences, textrank, weights
 from ..session import shared_folder
-from ..sources import ingest, input_bytes, read_documents, spread
+from ..sources import bucket_count, ingest, read_documents, spread, write_bucketed
 from . import request_log
 
-BUCKET_BYTES = 64 << 20
-
 
 class Workspace:
     """The stages of one input folder; each is computed at first use and written once."""
 
-    def __init__(self, spark: SparkSession, input_dir: str, bucket_bytes: int = BUCKET_BYTES):
+    def __init__(self, spark: SparkSession, input_dir: str, bucket_bytes: int = 64 << 20):
         self.spark = spark
         self.input_dir = input_dir.rstrip("/")
         self.bucket_bytes = bucket_bytes
@@ -43,24 +40,15 @@ class Workspace:
         return self.path(f"{name}_{uuid.uuid4().hex[:8]}")
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("errorifexists").parquet(self.path(name))
+        df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
-    def write_bucketed(self, df: DataFrame, name: str, key: str = "doc_id") -> DataFrame:
-        """Write with one file per bucket, given rows already hashed on ``key`` into that many partitions."""
-        table = f"{self.run}_{name}"
-        (
-            df.write.format("parquet").option("path", self.path(name))
-            .bucketBy(self.buckets, key).sortBy(key).saveAsTable(table)
-        )
-        return self.spark.table(table)
+    def write_bucketed(self, df: DataFrame, name: str) -> DataFrame:
+        return write_bucketed(df, self.path(name), f"{self.run}_{name}", self.buckets)
 
     @cached_property
     def buckets(self) -> int:
-        """Enough buckets for the input bytes, at least one per core, at most what the session allows."""
-        size = input_bytes(self.spark.read.parquet(self.input("documents")))
-        wanted = max(self.spark.sparkContext.defaultParallelism, math.ceil(size / self.bucket_bytes))
-        return min(wanted, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        return bucket_count(self.spark.read.parquet(self.input("documents")), self.bucket_bytes)
 
     def input(self, table: str) -> str:
         return f"{self.input_dir}/{table}.parquet"

@@ -1,11 +1,13 @@
 """Readers and writers.  Every path may be any URI Spark can reach."""
 
 from .corpus import (
-    ingest, input_bytes, read_article_files, read_clean, read_documents, read_raw_csv, spread,
+    bucket_count, ingest, input_bytes, read_article_files, read_clean, read_documents, read_raw_csv, spread,
+)
+from .sinks import (
+    append_audit, write_bucketed, write_clean, write_raw_csv, write_small_csv, write_summaries,
 )
-from .sinks import append_audit, write_clean, write_raw_csv, write_small_csv, write_summaries
 
 __all__ = [
-    "append_audit", "ingest", "input_bytes", "read_article_files", "read_clean", "read_documents",
-    "read_raw_csv", "spread", "write_clean", "write_raw_csv", "write_small_csv", "write_summaries",
+    "append_audit", "bucket_count", "ingest", "input_bytes", "read_article_files", "read_clean", "read_documents",
+    "read_raw_csv", "spread", "write_bucketed", "write_clean", "write_raw_csv", "write_small_csv", "write_summaries",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..schemas import RAW
 
 
 FULL_SPLIT_BYTES = 128 << 20
+BUCKET_BYTES = 64 << 20
 
 
 def read_article_files(spark: SparkSession, path: str, root: str, labels: DataFrame | None = None) -> DataFrame:
@@ -76,6 +79,13 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for the bytes of ``df``: at least one per core, at most what the session allows."""
+    spark = df.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / bucket_bytes))
+    return min(wanted, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small input over all cores; a large one is returned as it is.
 

@@ -23,6 +23,19 @@ def write_clean(df: DataFrame, path: str, partitions: int | None = None) -> None
     spread.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, key: str = "doc_id") -> DataFrame:
+    """Write as an external table bucketed by ``key`` and return it.
+
+    Rows already hashed on ``key`` into that many partitions give one file per
+    bucket.  Later work by ``key`` on the returned table needs no shuffle.
+    """
+    (
+        df.write.mode("overwrite").format("parquet").option("path", path)
+        .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def write_summaries(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
