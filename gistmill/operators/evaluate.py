@@ -31,14 +31,16 @@ def assemble_summaries(docs: DataFrame, *summaries: DataFrame) -> DataFrame:
 
 
 def by_model(summaries: DataFrame, models: Mapping[str, str] = MODELS) -> DataFrame:
-    """One row per document and model; a missing summary gives no row.
+    """One row per document and model, the set that is evaluated.
 
-    A generator, not ``unpivot``: it keeps the partitioning by doc_id.
+    Documents without keywords and missing summaries give no row.  A generator,
+    not ``unpivot``: it keeps the partitioning by doc_id.
     """
     used = {name: column for name, column in models.items() if column in summaries.columns}
     pairs = [F.struct(F.lit(name).alias("model"), F.col(column).alias("summary")) for name, column in used.items()]
     rest = [c for c in summaries.columns if c not in used.values()]
-    return summaries.select(*rest, F.inline(F.array(*pairs))).filter(F.col("summary").isNotNull())
+    evaluated = summaries.filter(F.col("keywords").isNotNull())
+    return evaluated.select(*rest, F.inline(F.array(*pairs))).filter(F.col("summary").isNotNull())
 
 
 def tokenised(long: DataFrame, stemmed: bool = False) -> DataFrame:
@@ -95,19 +97,33 @@ def rouge_l(tokens: DataFrame) -> DataFrame:
     return tokens.select("doc_id", "model", F.when(size > 0, lcs / size).otherwise(0.0).alias("recall"))
 
 
+def _coverage(words: Column) -> Column:
+    found = F.size(F.filter("keywords", lambda k: F.array_contains(words, k)))
+    return found / F.size("keywords")
+
+
+def measure_words(long: DataFrame) -> DataFrame:
+    """(doc_id, model, coverage, words, ratio): keyword share, length and compression of each summary."""
+    flat = tx.collapse_space(F.col("summary"))
+    measured = once(
+        long,
+        terms=tk.content_terms(F.col("summary"), stop_words=()),
+        words=F.when(F.length(flat) == 0, 0).otherwise(tx.word_count(flat)),
+    )
+    return measured.select(
+        "doc_id", "model", _coverage(F.col("terms")).alias("coverage"), "words",
+        (F.col("words") / F.col("n_words")).alias("ratio"),
+    )
+
+
 def coverage(long: DataFrame) -> DataFrame:
     """(doc_id, model, coverage): share of the document's keywords found in the summary."""
-    words = tk.content_terms(F.col("summary"), stop_words=())
-    with_words = once(long, words=words)
-    found = F.size(F.filter("keywords", lambda k: F.array_contains("words", k)))
-    return with_words.select("doc_id", "model", (found / F.size("keywords")).alias("coverage"))
+    return measure_words(long).select("doc_id", "model", "coverage")
 
 
 def compression(long: DataFrame) -> DataFrame:
     """(doc_id, model, words, ratio)."""
-    trimmed = tx.collapse_space(F.col("summary"))
-    words = F.when(F.length(trimmed) == 0, 0).otherwise(tx.word_count(trimmed))
-    return long.select("doc_id", "model", words.alias("words"), (words / F.col("n_words")).alias("ratio"))
+    return measure_words(long).select("doc_id", "model", "words", "ratio")
 
 
 def compare_models(long: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -118,26 +134,20 @@ def compare_models(long: DataFrame, tokens: DataFrame) -> DataFrame:
     document id.  Every measure is reduced to its means first, so only a handful
     of rows are joined.
     """
-    sizes = compression(long)
-    means = [
-        _means(sizes, AvgSummaryWords="words", CompressionRatio="ratio"),
-        _means(
-            rouge_n(tokens),
-            ROUGE1_R=F.when(F.col("n") == 1, F.col("recall")), ROUGE2_R=F.when(F.col("n") == 2, F.col("recall")),
-        ),
-        _means(rouge_l(tokens), ROUGEL_R="recall"),
-        _means(coverage(long), KeyTermCoverage="coverage"),
-    ]
-    table = sizes.groupBy(*_split_and_model()).agg(F.count("*").alias("n_docs"))
-    for mean in means:
-        table = table.join(mean, ["split", "Model"])
-    return table
+    words = measure_words(long).groupBy(*_split_and_model()).agg(
+        F.count("*").alias("n_docs"),
+        _mean("coverage", "KeyTermCoverage"), _mean("words", "AvgSummaryWords"), _mean("ratio", "CompressionRatio"),
+    )
+    grams = rouge_n(tokens).groupBy(*_split_and_model()).agg(
+        *[_mean(F.when(F.col("n") == n, F.col("recall")), f"ROUGE{n}_R") for n in (1, 2)]
+    )
+    sequence = rouge_l(tokens).groupBy(*_split_and_model()).agg(_mean("recall", "ROUGEL_R"))
+    return words.join(grams, ["split", "Model"]).join(sequence, ["split", "Model"])
 
 
 def _split_and_model() -> list[Column]:
     return [F.split_part("doc_id", F.lit("_"), F.lit(1)).alias("split"), F.col("model").alias("Model")]
 
 
-def _means(measure: DataFrame, **columns: str | Column) -> DataFrame:
-    averages = [F.round(F.avg(column), 3).alias(name) for name, column in columns.items()]
-    return measure.groupBy(*_split_and_model()).agg(*averages)
+def _mean(value: str | Column, name: str) -> Column:
+    return F.round(F.avg(value), 3).alias(name)

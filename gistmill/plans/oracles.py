@@ -196,9 +196,9 @@ TABLES: dict[str, tuple[list[str], str]] = {
         FROM docs LEFT JOIN lead3 USING (doc_id) LEFT JOIN tfidf USING (doc_id)
         LEFT JOIN textrank USING (doc_id) LEFT JOIN keywords USING (doc_id)"""),
     "long": (["summaries"], """
-        SELECT doc_id, title, n_words, keywords, 'Lead-3' AS model, lead3 AS summary FROM summaries
-        UNION ALL SELECT doc_id, title, n_words, keywords, 'Spark TF-IDF', tfidf_summary FROM summaries
-        UNION ALL SELECT doc_id, title, n_words, keywords, 'TextRank', textrank_summary FROM summaries"""),
+        SELECT doc_id, title, n_words, keywords, unnest(['Lead-3', 'Spark TF-IDF', 'TextRank']) AS model,
+               unnest([lead3, tfidf_summary, textrank_summary]) AS summary
+        FROM summaries WHERE keywords IS NOT NULL"""),
     "rtok": (["long"], """
         SELECT doc_id, model, regexp_extract_all(lower(coalesce(title, '')), '[a-z0-9]+') AS ref,
                regexp_extract_all(lower(summary), '[a-z0-9]+') AS cand FROM long"""),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..schemas import CLEAN_COLUMNS, RAW
 
@@ -31,7 +32,7 @@ def write_bucketed(df: DataFrame, path: str, table: str, buckets: int, key: str
     """
     (
         df.write.mode("overwrite").format("parquet").option("path", path)
-        .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        .bucketBy(buckets, key).saveAsTable(table)
     )
     return df.sparkSession.table(table)
 
@@ -48,3 +49,11 @@ def write_small_csv(df: DataFrame, path: str) -> None:
 def append_audit(df: DataFrame, path: str) -> None:
     """Append-only audit trail; the table holds fingerprints, never texts."""
     df.write.mode("append").parquet(path)
+
+
+def append_audit_lines(df: DataFrame, path: str) -> None:
+    """The same trail as text, one ``time | event | doc_sha256=…`` line per row."""
+    utc = F.to_utc_timestamp("ts", F.current_timezone())
+    time = F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    line = F.concat_ws(" | ", time, "event", F.concat(F.lit("doc_sha256="), "doc_sha256"))
+    df.select(line.alias("value")).write.mode("append").text(path)

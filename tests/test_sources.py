@@ -73,3 +73,11 @@ def test_streams_append_once(spark, tmp_path):
 def test_stream_equals_batch(spark, ws):
     batch = redaction.sanitised_stream(ws.documents())
     assert batch.select(F.max(F.length("safe_text"))).first()[0] <= 12_000
+
+
+def test_audit_lines(spark, tmp_path):
+    rows = spark.sql("SELECT timestamp '2026-01-02 03:04:05' AS ts, 'ask' AS event, 'ba7816bf8f01' AS doc_sha256")
+    for _ in range(2):
+        sources.append_audit_lines(rows, f"{tmp_path}/audit")
+    lines = [r["value"] for r in spark.read.text(f"{tmp_path}/audit").collect()]
+    assert lines == ["2026-01-02T03:04:05+00:00 | ask | doc_sha256=ba7816bf8f01"] * 2
