@@ -81,7 +81,7 @@ def summarise(spark: SparkSession, out: str) -> None:
         sentences.lead_summary(docs),
         sentences.tfidf_summary(scores, docs),
         learner.gbt_summary(predictions, docs),
-        textrank.textrank_summary(textrank.textrank(docs)),
+        textrank.textrank_summary(textrank.textrank(docs), docs),
         weights.keywords(weights.term_weights(docs, index)),
     )
     sources.write_summaries(table, f"{out}/summaries")

@@ -7,27 +7,27 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 1_000
 MAX_KEY_CHARS = 256
+MAX_SALTS = 65_536
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_000_000, salts: int = 64, how: str = "left"
+    left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_000_000, how: str = "left"
 ) -> DataFrame:
-    """``left`` join ``right`` on ``key``, with the rows of hot keys spread over ``salts`` tasks.
+    """``left`` join ``right`` on ``key``, with hot keys spread so that a task gets about ``hot_rows`` rows.
 
-    ``right`` has one row per key.  Keys with ``hot_rows`` rows or more on the
+    ``right`` has one row per key.  Keys with more than ``hot_rows`` rows on the
     left are hot; the ``MAX_HOT_KEYS`` largest of them are broadcast, bounded in
     number and length.  Only their right rows are repeated, once for each salt.
     Any key beyond that list holds less than one row in ``MAX_HOT_KEYS``.
     Rows without a key match nothing and are spread as well.
     """
-    counts = left.groupBy(key).agg(F.count("*").alias("rows")).filter(F.col("rows") >= hot_rows)
-    short = counts.filter(F.length(F.col(key).cast("string")) <= MAX_KEY_CHARS)
-    hot = F.broadcast(short.orderBy(F.desc("rows")).limit(MAX_HOT_KEYS).select(key, F.lit(True).alias("hot")))
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    salted_left = left.join(hot, key, "left").withColumn(
-        "salt", F.when(F.col("hot") | F.col(key).isNull(), spread).otherwise(0)
-    )
-    repeats = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    counts = left.groupBy(key).agg(F.count("*").alias("rows"))
+    large = counts.filter((F.col("rows") > hot_rows) & (F.length(F.col(key).cast("string")) <= MAX_KEY_CHARS))
+    needed = F.least(F.ceil(F.col("rows") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    hot = F.broadcast(large.orderBy(F.desc("rows")).limit(MAX_HOT_KEYS).select(key, needed.alias("salts")))
+    salts = F.when(F.col(key).isNull(), MAX_SALTS).otherwise(F.coalesce("salts", F.lit(1)))
+    salted_left = left.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int"))
+    repeats = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     salted_right = right.join(hot, key, "left").withColumn("salt", F.explode(repeats))
-    joined = salted_left.drop("hot").join(salted_right.drop("hot"), [key, "salt"], how)
+    joined = salted_left.drop("salts").join(salted_right.drop("salts"), [key, "salt"], how)
     return joined.drop("salt")

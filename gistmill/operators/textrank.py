@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import tokens as tk
 from ..functions.graph import graph_ranks
-from .sentences import join_picked
+from .sentences import summary_from
 from .weights import smoothed_idf
 
 
@@ -46,7 +46,7 @@ def textrank(
     damping: float = fv.DAMPING,
     rounds: int = fv.RANK_ROUNDS,
 ) -> DataFrame:
-    """(doc_id, sentences, similarity, ranks): arrays with one entry for each sentence.
+    """(doc_id, similarity, ranks): two arrays with one value for each sentence of the document.
 
     ``similarity`` is the sum to all other sentences.  Only terms used by two
     sentences or more link anything; without any, all ranks are the base rank.
@@ -54,15 +54,15 @@ def textrank(
     linking = sentence_vectors(docs, stop_words).filter(F.col("df") >= 2)
     entry = F.struct("sent_idx", "term_no", "x")
     graph = linking.groupBy("doc_id").agg(F.collect_list(entry).alias("entries"))
-    # join first: a bucketed join moves nothing, while Python output has no known partitioning
-    joined = docs.select("doc_id", "n_sentences", "sentences").join(graph, "doc_id", "left")
+    # joined before Python runs: the output of a Python function has no known partitioning
+    sizes = docs.select("doc_id", "n_sentences").join(graph, "doc_id", "left")
     no_entries = F.array().cast("array<struct<sent_idx: int, term_no: int, x: double>>")
-    entries = joined.withColumn("entries", F.coalesce("entries", no_entries))
+    entries = sizes.withColumn("entries", F.coalesce("entries", no_entries))
     solved = graph_ranks(
         F.col("n_sentences"), F.col("entries.sent_idx"), F.col("entries.term_no"), F.col("entries.x"), damping, rounds
     )
     return entries.withColumn("solved", solved).select(
-        "doc_id", "sentences", "solved.similarity", F.col("solved.rank").alias("ranks")
+        "doc_id", "solved.similarity", F.col("solved.rank").alias("ranks")
     )
 
 
@@ -73,7 +73,7 @@ def sentence_ranks(ranked: DataFrame) -> DataFrame:
     return rows.select("doc_id", "sent_idx", "r.similarity", "r.rank")
 
 
-def textrank_summary(ranked: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
+def textrank_summary(ranked: DataFrame, docs: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
     """The ``k`` best ranked sentences of each document in their original order.
 
     Ranks equal to nine decimals tie and the earlier sentence wins, so a document
@@ -81,5 +81,5 @@ def textrank_summary(ranked: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFr
     """
     keyed = F.transform("ranks", lambda r, i: F.struct((-F.round(r, 9)).alias("key"), i.alias("sent_idx")))
     best = F.slice(F.array_sort(keyed), 1, k)
-    picked = F.sort_array(best["sent_idx"])
-    return ranked.select("doc_id", join_picked(F.col("sentences"), picked).alias("textrank_summary"))
+    picks = ranked.select("doc_id", F.sort_array(best["sent_idx"]).alias("picked"))
+    return summary_from(docs, picks, "textrank_summary")

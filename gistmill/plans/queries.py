@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import tokens as tk
-from ..operators import assistant, clean, eda, evaluate, learner, local_summary, sentences, textrank, weights
+from ..operators import assistant, clean, eda, evaluate, learner, local_summary, sentences, textrank
 from ..sources import corpus, sinks
 from ..streaming import redaction
 from .workspace import Workspace, workspace
@@ -146,7 +146,7 @@ def term_weights(ws: Workspace) -> DataFrame:
 
 @query
 def keywords_top10(ws: Workspace) -> DataFrame:
-    return weights.keywords(ws.term_weights).select("doc_id", F.array_join("keywords", " ").alias("keywords"))
+    return ws.keywords.select("doc_id", F.array_join("keywords", " ").alias("keywords"))
 
 
 @query
@@ -172,12 +172,12 @@ def textrank_vectors(ws: Workspace) -> DataFrame:
 # ranks are often 1/n, which six decimals would cut in the middle
 @partial(query, decimals=10)
 def textrank_ranks(ws: Workspace) -> DataFrame:
-    return textrank.sentence_ranks(ws.textrank)
+    return textrank.sentence_ranks(ws.ranks)
 
 
 @query
 def summary_textrank(ws: Workspace) -> DataFrame:
-    return textrank.textrank_summary(ws.textrank)
+    return textrank.textrank_summary(ws.ranks, ws.docs)
 
 
 @query

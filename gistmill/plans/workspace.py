@@ -88,8 +88,13 @@ class Workspace:
         return self.write_bucketed(self._in_buckets(scores), "scores")
 
     @cached_property
-    def textrank(self) -> DataFrame:
-        return textrank.textrank(self.docs)
+    def ranks(self) -> DataFrame:
+        """Ranks of all sentences, one array per document; the texts stay in the clean table."""
+        return self.write_bucketed(textrank.textrank(self.docs), "ranks")
+
+    @cached_property
+    def keywords(self) -> DataFrame:
+        return self.write_bucketed(self._in_buckets(weights.keywords(self.term_weights)), "keywords")
 
     @cached_property
     def features(self) -> DataFrame:
@@ -110,10 +115,10 @@ class Workspace:
             self.docs,
             sentences.lead_summary(self.docs),
             sentences.tfidf_summary(self.scores, self.docs),
-            textrank.textrank_summary(self.textrank),
-            weights.keywords(self.term_weights),
+            textrank.textrank_summary(self.ranks, self.docs),
+            self.keywords,
         )
-        return self.write_bucketed(self._in_buckets(table), "summaries")
+        return self.write_bucketed(table, "summaries")
 
     @cached_property
     def all_summaries(self) -> DataFrame:

@@ -43,7 +43,7 @@ def test_salted_join_equals_plain_join(spark):
     )
     right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k5", 3), ("unused", 4)], "key string, w int")
     plain = left.join(right, "key", "left")
-    salted = skew.salted_join(left, right, "key", hot_rows=100, salts=8)
+    salted = skew.salted_join(left, right, "key", hot_rows=100)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -54,7 +54,7 @@ def test_salting_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_join(left, right, "key", hot_rows=100, salts=64)
+        joined = skew.salted_join(left, right, "key", hot_rows=100)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -89,13 +89,13 @@ def test_global_rank_over_many_ranges(ws):
 def test_work_inside_documents_is_not_shuffled(spark, ws):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        ranked = textrank.textrank(ws.docs)
         plans = {
             "scores": sentences.sentence_scores(ws.docs, ws.idf_index),
             "summary": sentences.tfidf_summary(ws.scores, ws.docs),
             "weights": weights.term_weights(ws.docs, ws.idf_index),
             "keywords": weights.keywords(ws.term_weights),
-            "textrank": textrank.textrank_summary(ranked),
+            "textrank": textrank.textrank(ws.docs),
+            "textrank_summary": textrank.textrank_summary(ws.ranks, ws.docs),
         }
         assert {name: shuffles(df) for name, df in plans.items()} == dict.fromkeys(plans, 0)
     finally:

@@ -56,14 +56,14 @@ def test_ranks_equal_the_dense_matrix(spark):
 
 def test_ranks_on_real_documents(ws):
     some = ws.docs.orderBy("doc_id").limit(15)
-    ranked = textrank.textrank(some)
-    for row in ranked.collect():
+    for row in textrank.textrank(some).join(some, "doc_id").collect():
         assert row["ranks"] == pytest.approx(list(dense_ranks(row["sentences"])), abs=1e-10)
         assert sum(row["ranks"]) <= 1 + 1e-9
 
 
 def test_textrank_without_links_takes_the_first_sentences(spark):
-    found = {r[0]: r[1] for r in textrank.textrank_summary(textrank.textrank(documents(spark, TEXTS))).collect()}
+    docs = documents(spark, TEXTS)
+    found = dict(textrank.textrank_summary(textrank.textrank(docs), docs).collect())
     assert found["d1"] == " ".join(TEXTS[1][:3])
     assert found["d2"] == " ".join(TEXTS[2])
     assert found["d3"] == " ".join(TEXTS[3][:3])
