@@ -21,11 +21,17 @@ def local_scores(split: DataFrame, stop_words: Sequence[str] = fv.ENGLISH_STOP_W
     terms = rows.select(
         "doc_id", "n", "sent_idx", F.explode_outer(tk.content_terms(F.col("s"), stop_words)).alias("term")
     )
-    postings = terms.groupBy("doc_id", "n", "sent_idx", "term").agg(F.count("term").alias("uses"))
+    # one sort by (doc_id, term, sent_idx) serves both windows
     in_text = W.partitionBy("doc_id", "term")
-    counted = postings.withColumn("tf", F.sum("uses").over(in_text)).withColumn("df", F.count("*").over(in_text))
-    weight = F.col("uses") * F.col("tf") * smoothed_idf(F.col("n"), F.col("df"))
-    sums = counted.groupBy("doc_id", "sent_idx").agg(F.sum(weight).alias("wsum"), F.sum("uses").alias("n_terms"))
+    previous = F.lag("sent_idx").over(in_text.orderBy("sent_idx"))
+    first_use = F.when(previous == F.col("sent_idx"), 0).otherwise(1)
+    counted = (
+        terms.withColumn("first_use", first_use)
+        .withColumn("tf", F.count("term").over(in_text))
+        .withColumn("df", F.sum("first_use").over(in_text))
+    )
+    weight = F.col("tf") * smoothed_idf(F.col("n"), F.col("df"))
+    sums = counted.groupBy("doc_id", "sent_idx").agg(F.sum(weight).alias("wsum"), F.count("term").alias("n_terms"))
     length = F.sqrt(F.greatest("n_terms", F.lit(1)).cast("double"))
     return sums.select(
         "doc_id", "sent_idx", (F.col("wsum") / length * position_weight(F.col("sent_idx"))).alias("score")

@@ -32,15 +32,15 @@ def sentence_scores(
     """TF-IDF score of every sentence, those without any term included.
 
     Sentences partition a document's tokens, so a term's frequency in the
-    document is the sum over its sentences.  On a table bucketed by doc_id the
-    aggregates and windows below need no shuffle.
+    document is its number of rows here.  On a table bucketed by doc_id neither
+    the window nor the grouping needs a shuffle.
     """
     terms = sentence_table(docs, stop_words).select("doc_id", "sent_idx", F.explode_outer("terms").alias("term"))
-    postings = terms.groupBy("doc_id", "sent_idx", "term").agg(F.count("term").alias("uses"))
-    in_document = W.partitionBy("doc_id", "term")
-    weighted = attach_idf(postings.withColumn("tf", F.sum("uses").over(in_document)), index)
-    weight = F.col("uses") * F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))
-    sums = weighted.groupBy("doc_id", "sent_idx").agg(F.sum(weight).alias("wsum"), F.sum("uses").alias("n_terms"))
+    counted = terms.withColumn("tf", F.count("term").over(W.partitionBy("doc_id", "term")))
+    weight = F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))
+    sums = attach_idf(counted, index).groupBy("doc_id", "sent_idx").agg(
+        F.sum(weight).alias("wsum"), F.count("term").alias("n_terms")
+    )
     length = F.sqrt(F.greatest("n_terms", F.lit(1)).cast("double"))
     return sums.withColumn("tfidf_norm", F.col("wsum") / length).withColumn(
         "tfidf_score", F.col("tfidf_norm") * position_weight(F.col("sent_idx"))
