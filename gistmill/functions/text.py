@@ -115,7 +115,8 @@ def fingerprint(text: Column) -> Column:
 
 # --- counting ----------------------------------------------------------------
 def word_count(text: Column, pattern: str = " ") -> Column:
-    return F.size(F.split(text, pattern))
+    # size() of NULL depends on the session's ANSI setting, this does not
+    return F.when(text.isNotNull(), F.size(F.split(text, pattern)))
 
 
 def digit_count(text: Column) -> Column:

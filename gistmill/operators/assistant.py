@@ -219,9 +219,8 @@ def offline_replies(state: DataFrame, documents: DataFrame, texts: PromptTexts =
 def confirmations(state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFrame:
     """(session, turn, command, reply) for the rows that set state or are refused."""
     others = state.filter(~F.coalesce(F.col("command").isin(*PREPARED_REPLY, "prompt"), F.lit(False)))
-    loaded = documents.select(
-        F.col("doc_ref").alias("set_ref"), F.col("title"), tx.word_count(tx.collapse_space(F.col("text"))).alias("words")
-    )
+    words = tx.word_count(tx.collapse_space(F.col("text")))
+    loaded = documents.select(F.col("doc_ref").alias("set_ref"), "title", words.alias("words"))
     command = F.col("command")
     reply = (
         F.when(F.col("status") == "unknown_command", texts.unknown_command)

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
 from ..functions.exprs import once

@@ -8,6 +8,7 @@ from .sinks import (
 )
 
 __all__ = [
-    "append_audit", "append_audit_lines", "bucket_count", "ingest", "input_bytes", "read_article_files", "read_clean", "read_documents",
-    "read_raw_csv", "spread", "write_bucketed", "write_clean", "write_raw_csv", "write_small_csv", "write_summaries",
+    "append_audit", "append_audit_lines", "bucket_count", "ingest", "input_bytes", "read_article_files",
+    "read_clean", "read_documents", "read_raw_csv", "spread", "write_bucketed", "write_clean", "write_raw_csv",
+    "write_small_csv", "write_summaries",
 ]

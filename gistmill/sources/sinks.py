@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import CLEAN_COLUMNS, RAW
 
 
-def write_raw_csv(df: DataFrame, path: str, rows_per_file: int = 500_000) -> None:
+def write_raw_csv(df: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
     (
         df.select(*RAW.fieldNames()).write.mode("overwrite")
         .options(header=True, escape='"', maxRecordsPerFile=rows_per_file,

@@ -38,7 +38,8 @@ def test_ngrams(spark):
 @pytest.fixture
 def long(spark):
     return spark.createDataFrame(
-        [("test_1", "Lead-3", "Oil Price Rises, Oil Output Falls", "Oil is up. The price of oil rises!", 20, ["oil", "up", "tin"]),
+        [("test_1", "Lead-3", "Oil Price Rises, Oil Output Falls", "Oil is up. The price of oil rises!", 20,
+          ["oil", "up", "tin"]),
          ("test_2", "Lead-3", None, "No headline here", 10, ["here"]),
          ("test_3", "Lead-3", "Gold", "", 10, ["gold"])],
         "doc_id string, model string, title string, summary string, n_words int, keywords array<string>",

@@ -88,6 +88,15 @@ def test_stop_words_are_those_of_spark(spark):
     assert fv.ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
 
 
+def test_no_text_has_no_word_count(spark, one):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert one(None, tx.word_count) is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert one(None, tx.word_count) is None
+
+
 def test_counts(one):
     assert one("In 1987 Acme lost 5", tx.digit_count) == 5
     assert one("In 1987 Acme lost", tx.capital_ratio) == 0.5
