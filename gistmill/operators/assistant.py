@@ -21,6 +21,7 @@ from .local_summary import best_sentences, local_summary
 from .skew import salted_join
 
 PREPARED_REPLY = ["summarize", "ask"]
+EMPTY = "empty:"
 STATE = ["style", "length", "language", "doc_ref"]
 DEFAULTS = {"style": "paragraph", "length": "medium", "language": "English"}
 
@@ -85,14 +86,15 @@ def parse_commands(log: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFr
 def resolve_documents(commands: DataFrame, raw: DataFrame) -> DataFrame:
     """Adds ``doc_ref``, what a /doc or /paste line makes the current document.
 
-    A /doc with an id outside the corpus keeps NULL.  Ids asked for by a large
-    share of the log are salted.
+    A /doc with an id outside the corpus keeps NULL.  An empty /paste replaces the
+    document by nothing.  Ids asked for by a large share of the log are salted.
     """
     asked = commands.withColumn("wanted", F.when(F.col("command") == "doc", F.col("argument")))
     ids = raw.filter(F.col("text").isNotNull()).select(
         F.col("doc_id").alias("wanted"), F.concat(F.lit("corpus:"), "doc_id").alias("found")
     )
-    pasted = F.concat(F.lit("paste:"), "session", F.lit(":"), "turn")
+    kind = F.when(F.length("argument") > 0, "paste:").otherwise(EMPTY)
+    pasted = F.concat(kind, "session", F.lit(":"), "turn")
     return salted_join(asked, ids, "wanted").select(
         "session", "turn", "command", "argument",
         F.when(F.col("command") == "paste", pasted).otherwise(F.col("found")).alias("doc_ref"),
@@ -147,11 +149,15 @@ def _status() -> Column:
     return (
         F.when(command.isNull(), "unknown_command")
         .when((command == "doc") & F.col("set_ref").isNull(), "unknown_document")
-        .when(command.isin(PREPARED_REPLY) & F.col("doc_ref").isNull(), "no_document")
+        .when(command.isin(PREPARED_REPLY) & _no_document(), "no_document")
         .otherwise("ok")
     )
 
 
+def _no_document() -> Column:
+    return F.col("doc_ref").isNull() | F.col("doc_ref").startswith(EMPTY)
+
+
 def documents_in_use(state: DataFrame, raw: DataFrame) -> DataFrame:
     """(doc_ref, title, text) for every document some row refers to, each once."""
     refs = state.select(F.explode(F.array("doc_ref", "set_ref")).alias("doc_ref")).dropna().distinct()
@@ -179,7 +185,7 @@ def prompt_messages(state: DataFrame, documents: DataFrame, texts: PromptTexts =
         "length": _lookup(texts.lengths, "length"),
         "language": F.col("language"),
         "question": question,
-        "document": F.when(F.col("doc_ref").isNull(), placeholder).otherwise(F.coalesce("safe_text", F.lit(""))),
+        "document": F.when(_no_document(), placeholder).otherwise(F.coalesce("safe_text", F.lit(""))),
     }
     user = F.when(question.isNotNull(), fill_template(texts.question, values)).otherwise(fill_template(texts.summary, values))
     messages = F.array(_message("system", F.lit(texts.system)), _message("user", user))

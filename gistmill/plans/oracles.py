@@ -242,13 +242,14 @@ TABLES: dict[str, tuple[list[str], str]] = {
         SELECT o.*, CASE WHEN command = 'style' THEN argument END AS new_style,
                CASE WHEN command = 'length' THEN argument END AS new_length,
                CASE WHEN command = 'lang' THEN {_title_case("argument")} END AS new_language,
-               CASE WHEN command = 'paste' THEN 'paste:' || session || ':' || turn
+               CASE WHEN command = 'paste' THEN CASE argument WHEN '' THEN 'empty:' ELSE 'paste:' END || session || ':' || turn
                     WHEN command = 'doc' AND r.doc_id IS NOT NULL THEN 'corpus:' || r.doc_id END AS set_ref
         FROM open_rows o LEFT JOIN (SELECT doc_id FROM raw WHERE text IS NOT NULL) r ON r.doc_id = o.argument"""),
     "state": (["settings"], f"""
         SELECT *, CASE WHEN command IS NULL THEN 'unknown_command'
                        WHEN command = 'doc' AND set_ref IS NULL THEN 'unknown_document'
-                       WHEN command IN ('summarize', 'ask') AND doc_ref IS NULL THEN 'no_document'
+                       WHEN command IN ('summarize', 'ask') AND (doc_ref IS NULL OR doc_ref LIKE 'empty:%')
+                         THEN 'no_document'
                        ELSE 'ok' END AS status
         FROM (SELECT session, turn, command, argument, set_ref,
                      coalesce(last_value(new_style IGNORE NULLS) OVER w, '{DEFAULTS["style"]}') AS style,
@@ -346,7 +347,7 @@ PROMPT_VALUES = {
     "length": _choice(TEXTS.lengths, "length"),
     "language": "language",
     "question": "substr(argument, 1, 500)",
-    "document": f"CASE WHEN s.doc_ref IS NULL THEN 'document' ELSE coalesce({_sanitise('text')}, '') END",
+    "document": f"CASE WHEN s.doc_ref IS NULL OR s.doc_ref LIKE 'empty:%' THEN 'document' ELSE coalesce({_sanitise('text')}, '') END",
 }
 USER_MESSAGE = f"""
     CASE WHEN command = 'ask' AND argument <> '' THEN {_filled(TEXTS.question, PROMPT_VALUES)}

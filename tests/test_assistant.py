@@ -100,3 +100,15 @@ def test_audit_hashes_the_text_as_loaded(session):
     assert rows[2] == ("load_doc", digest) and rows[6] == ("summarize", digest) and rows[7] == ("ask", digest)
     assert rows[14][0] == "paste_doc" and rows[14][1] != digest
     assert set(rows) == {2, 6, 7, 8, 10, 13, 14}
+
+
+def test_an_empty_paste_unloads_the_document(spark):
+    lines = ["/paste One two three four.", "/summarize", "/paste", "/summarize", "/prompt"]
+    log = spark.createDataFrame([(1, i, line) for i, line in enumerate(lines)], "session long, turn long, line string")
+    raw = spark.createDataFrame([], "doc_id string, title string, text string")
+    state = assistant.session_state(assistant.resolve_documents(assistant.parse_commands(log), raw)).cache()
+    documents = assistant.documents_in_use(state, raw)
+    assert by_turn(state, "status") == {0: "ok", 1: "ok", 2: "ok", 3: "no_document", 4: "ok"}
+    assert by_turn(assistant.audit_rows(state, documents), "doc_sha256")[2] == "-"
+    messages = by_turn(assistant.prompt_messages(state, documents), "messages")
+    assert "<document>\ndocument\n</document>" in messages[4][1]["content"]
