@@ -162,18 +162,18 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def sampled(marks: np.ndarray, bounds: np.ndarray, width: int, need: int):
-    """Chosen positions of each text, see ``anchors``, that ``need`` more values of the text follow.
+def sampled(marks: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, need: int):
+    """Chosen positions of each text, see ``anchors``, at which ``need`` values of the text stand.
 
-    ``bounds[i]:bounds[i + 1]`` are the values of text ``i`` and ``need`` is at
-    least ``width`` marks long.  Returns the texts, the places, and how many
+    ``starts[i]:ends[i]`` are the values of text ``i``; ``need`` values are
+    at least ``width`` marks long.  Returns the texts, the places, and how many
     starts lie behind each place up to the one chosen before it.
     """
     at = anchors(marks, width)
-    text = np.searchsorted(bounds, at, side="right") - 1
-    inside = at + need <= bounds[text + 1]
+    text = np.searchsorted(starts, at, side="right") - 1
+    inside = at + need <= ends[text]
     at, text = at[inside], text[inside]
-    place = at - bounds[text]
+    place = at - starts[text]
     back = np.diff(at, prepend=-1)
     fresh = np.diff(text, prepend=-1) != 0
     back[fresh] = place[fresh] + 1

@@ -48,7 +48,7 @@ def suffix_groups(docs: DataFrame, min_words: int, reach: int) -> DataFrame:
             for low, high in ar.blocks(texts):
                 words = ar.Words(texts[low:high])
                 values = words.hashes()
-                text, place, back = ar.sampled(values, words.first, reach, short)
+                text, place, back = ar.sampled(values, words.first[:-1], words.first[1:], reach, short)
                 path = ar.span_hash(ar.prefix_sums(values), words.first[text] + place, short)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[low:high][text]), pa.array(place.astype(np.int32)),
