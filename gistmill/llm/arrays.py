@@ -15,7 +15,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 SPACES = np.zeros(256, bool)
 SPACES[[32, 9, 10, 11, 12, 13]] = True
 LICENCE_BREAKS = np.zeros(256, bool)

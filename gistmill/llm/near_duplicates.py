@@ -6,10 +6,12 @@ one class, represented by the least id; only representatives go on.
 1. ``rows * bands`` minima give ``bands`` bucket keys and an odd sketch: a bitmap
    in which each minimum flips one bit.  Bits that differ between two sketches
    estimate the similarity, most precisely where it is high.
-2. In each bucket all members are compared with one hub, never with each other.
-   Pairs whose sketches are far apart are dismissed; the others are confirmed on
-   their full sets and become links.
-3. Buckets whose members are not yet one component go on with further hubs, taken
+2. Each document is compared with one hub: of the members of its buckets, the one
+   that meets most others.  Pairs whose sketches are far apart are dismissed; the
+   others are confirmed on their full sets and become links.
+3. Buckets whose members are not yet one component go on, without the documents
+   that have too few shingles in common with other components to have a link
+   (``still_possible``), with further hubs, taken
    from the members outside the bucket's largest component, until each such
    member has been a hub.  No link between two members of a bucket is lost: they
    end in one component, or one of them has been a hub and met the other.
@@ -42,8 +44,8 @@ SIMILARITY = 0.8
 ROWS = 6
 MISS = 1e-7
 SKETCH_BITS = 512
-SIGMAS = 6
-HUBS = 16
+SIGMAS = 5
+HUBS = 64
 LINKS = "a bigint, b bigint"
 
 
@@ -139,11 +141,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = ar.text_bytes(batch.column("text_a")), ar.text_bytes(batch.column("text_b"))
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                p, q = shingle_sets([x, y])
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            keep, last, q = [], None, None
+            for low, high in ar.blocks(left):
+                for p, y in zip(shingle_sets(left[low:high]), right[low:high], strict=True):
+                    if y != last:  # pairs with one hub stand together
+                        last, q = y, shingle_sets([y])[0]
+                    both = len(np.intersect1d(p, q, assume_unique=True))
+                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
@@ -151,47 +155,103 @@ def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, LINKS)
 
 
+def mixed_buckets(labelled: DataFrame) -> DataFrame:
+    """The rows (bucket, rep, weight, size, component) of buckets with several components; ``largest`` is the most frequent one."""
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = written(
+        parts.groupBy("bucket").agg(
+            F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
+        .where("parts > 1").select("bucket", "largest"), "mixed")
+    return written(labelled.drop("largest").join(mixed, "bucket"), "members")
+
+
+def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``members`` whose document may have a link to another component, with ``n``, its shared shingles.
+
+    A link needs ``similarity / (1 + similarity)`` of both sizes in common.  A shingle
+    that no other component has cannot be in common, so a copy with many
+    words of its own is settled by counting, without meeting the other copies.
+    """
+    percent = round(100 * similarity)
+    least = written(members.groupBy("bucket").agg(F.min("size").alias("least")), "least")
+    reps = written(
+        members.join(least, "bucket").groupBy("rep").agg(
+            F.first("component").alias("component"), F.first("size").alias("size"), F.min("least").alias("least")), "reps")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps, components = batch.column("rep").to_numpy(), batch.column("component").to_numpy()
+            texts = ar.text_bytes(batch.column("text"))
+            for low, high in ar.blocks(texts):
+                sets = shingle_sets(texts[low:high])
+                owner = np.repeat(np.arange(low, high), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [ar.signed(np.concatenate(sets)), pa.array(reps[owner]), pa.array(components[owner])],
+                    names=["shingle", "rep", "component"])
+
+    rows = texts.join(reps, "rep").select("rep", "component", "text").mapInArrow(
+        shingles, "shingle bigint, rep bigint, component bigint")
+    common = written(
+        rows.groupBy("shingle").agg(F.min("component").alias("first"), F.max("component").alias("last"))
+        .where("first < last").select("shingle"), "common")
+    enough = (
+        rows.join(common, "shingle").groupBy("rep").agg(F.count("*").alias("n")).join(reps, "rep")
+        .where(F.col("n") * (100 + percent) >= percent * (F.col("size") + F.col("least"))).select("rep", "n")
+    )
+    return members.join(written(enough, "possible"), "rep")
+
+
 def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples: int) -> DataFrame:
     """rep, component of the representatives that have links."""
-    spark = docs.sparkSession
-    members = classes.select("rep", F.explode("bands").alias("bucket"))
-    hubs = written(
-        members.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("most"))
-        .where("hub < most").select("bucket", "hub"), "hubs")
-    members = written(members.join(hubs, "bucket").select("bucket", "rep"), "members")
+    members = classes.select("rep", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
+    sizes = written(
+        members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    members = written(members.join(sizes, "bucket"), "members")
+    # the original of a group of copies meets more members than any copy does, and makes the best hub
+    weights = written(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
+    members = written(members.join(weights, "rep").select("bucket", "rep", "size", "weight"), "members")
     texts = written(
-        docs.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+        docs.join(weights.select(F.col("rep").alias("doc_id")), "doc_id")
         .select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts")
     sketches = classes.select("rep", "odd")
-    used = hubs
-    pairs = members.join(hubs, "bucket").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    links = spark.createDataFrame([], LINKS)
-    labels = spark.createDataFrame([], "node bigint, component bigint")
+    best = F.max(F.struct("weight", (-F.col("rep")).alias("rep")))
+    hubs = written(members.groupBy("bucket").agg(best.alias("hub")), "hubs")
+    pairs = (
+        members.join(hubs, "bucket").groupBy(F.col("rep").alias("a")).agg((-F.max("hub")["rep"]).alias("b"))
+        .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    )
+    percent = round(100 * similarity)
+    used = tried = links = labels = None
     while True:
-        close = written(near_enough(pairs.distinct(), sketches, similarity, samples), "pairs")
-        if not close.isEmpty():
-            links = links.union(written(confirmed(close, texts, similarity), "confirmed"))
+        pairs = pairs.distinct()
+        close = near_enough(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"),
+                            sketches, similarity, samples)
+        close = written(close, "pairs")
+        tried = close if tried is None else tried.union(close)
+        if labels is None or not close.isEmpty():
+            found = written(confirmed(close, texts, similarity), "confirmed")
+            links = found if links is None else links.union(found)
             labels = components(links)
-        # buckets that are not one component yet, and their members outside its largest part
-        labelled = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("component"))
-        parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-        members = written(
-            labelled.join(written(mixed.where("parts > 1").select("bucket", "largest"), "mixed"), "bucket"), "members")
-        fresh = members.where("component <> largest").join(
-            used.select("bucket", F.col("hub").alias("rep")), ["bucket", "rep"], "left_anti")
+        labelled = members.drop("component").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
+        members = mixed_buckets(still_possible(mixed_buckets(labelled), texts, similarity))
+        fresh = members.where("component <> largest")
+        if used is not None:
+            fresh = fresh.join(used, ["bucket", "rep"], "left_anti")
         hubs = written(
             fresh.groupBy("bucket", (F.xxhash64("rep") % HUBS).alias("lane"))
-            .agg(F.min(F.struct("rep", "component")).alias("h"))
-            .select("bucket", F.col("h.rep").alias("hub"), F.col("h.component").alias("hub_component")), "hubs")
+            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "component", "size", "n")).alias("hub"))
+            .select("bucket", (-F.col("hub.rep")).alias("hub"), F.col("hub.component").alias("hub_component"),
+                    F.col("hub.size").alias("hub_size"), F.col("hub.n").alias("hub_n")), "hubs")
         if hubs.isEmpty():
             return labels.withColumnRenamed("node", "rep")
-        pairs = members.join(hubs, "bucket").where("component <> hub_component").select(
+        # what two documents have in common is at most what either shares with any other component
+        enough = F.least("n", "hub_n") * (100 + percent) >= percent * (F.col("size") + F.col("hub_size"))
+        pairs = members.join(hubs, "bucket").where(F.col("component") != F.col("hub_component")).where(enough).select(
             F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
-        used = used.union(hubs.select("bucket", "hub"))
-        members = members.select("bucket", "rep")
+        served = hubs.select("bucket", F.col("hub").alias("rep"))
+        used = served if used is None else used.union(served)
+        members = members.select("bucket", "rep", "size", "weight")
 
 
 def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -201,7 +261,8 @@ def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     signed = written(signatures(plain, bands), "signatures")
     classes = written(
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "classes")
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("odd").alias("odd"),
+             F.first("n_shingles").alias("n_shingles")), "classes")
     labels = near_links(plain, classes, similarity, bands * ROWS)
     groups = written(
         classes.select("set_key", "rep").join(labels, "rep", "left")
