@@ -13,7 +13,8 @@ NON_LETTERS = r"[^a-zA-Z]+"
 WORD_RUN = r"[\p{L}\p{N}_]{2,}"
 CONTROL_CHARS = r"[\x00-\x08\x0b-\x1f]"
 EMAIL = r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+"
-PHONE = r"(?<!\d)(?:\+?\d[\d\s\-()]{8,}\d)(?!\d)"
+# digits and white space of any script
+PHONE = r"(?<!\p{Nd})(?:\+?\p{Nd}[\p{Nd}\s\x1c-\x1f\x85\p{Z}\-()]{8,}\p{Nd})(?!\p{Nd})"
 # white space as str.split() sees it, wider than Java's \s
 UNICODE_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 # character references as the HTML standard scans them

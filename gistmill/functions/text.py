@@ -102,9 +102,11 @@ def redact_personal_data(text: Column, source: Column | None = None) -> Column:
     return F.regexp_replace(without_mail, fv.PHONE, "[PHONE]")
 
 
-def sanitise(text: Column, max_chars: int = fv.PROMPT_DOCUMENT_CHARS) -> Column:
+def sanitise(text: Column, max_chars: int | None = None) -> Column:
+    """The whole redacted text; prompts, which have a limit, give ``max_chars``."""
     untagged = drop_wire_tags(strip_control(text), source=text)
-    return F.substring(redact_personal_data(untagged, source=text), 1, max_chars)
+    safe = redact_personal_data(untagged, source=text)
+    return safe if max_chars is None else F.substring(safe, 1, max_chars)
 
 
 def fingerprint(text: Column) -> Column:

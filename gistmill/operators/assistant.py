@@ -174,7 +174,7 @@ def prompt_messages(state: DataFrame, documents: DataFrame, texts: PromptTexts =
     Documents are sanitised once each, before they are joined to the requests.
     """
     asked = state.filter(F.col("command").isin(*PREPARED_REPLY, "prompt") & (F.col("status") == "ok"))
-    safe = documents.select("doc_ref", tx.sanitise(F.col("text")).alias("safe_text"))
+    safe = documents.select("doc_ref", tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("safe_text"))
     placeholder = tx.sanitise(F.lit("<document>"))
     question = F.when(
         (F.col("command") == "ask") & (F.length("argument") > 0),
@@ -206,7 +206,7 @@ def offline_replies(state: DataFrame, documents: DataFrame, texts: PromptTexts =
     other styles the best three.  The length setting has no effect offline.
     """
     asked = state.filter(F.col("command").isin(PREPARED_REPLY))
-    bodies = documents.select(F.col("doc_ref").alias("doc_id"), tx.sanitise(F.col("text")).alias("text"))
+    bodies = documents.select(F.col("doc_ref").alias("doc_id"), tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("text"))
     best = local_summary(bodies.filter(F.col("text").isNotNull()).repartition("doc_id"))
     known = best.withColumnRenamed("doc_id", "doc_ref")
     chosen = F.when(F.col("style") == "tldr", best_sentences("best", 1)).otherwise(best_sentences("best"))

@@ -75,11 +75,17 @@ def assemble(features: DataFrame, columns: Sequence[str] = fv.FEATURES) -> DataF
     return vectors.select("doc_id", "sent_idx", "label", "features")
 
 
-def fit_gbt(features: DataFrame, **params) -> GBTClassificationModel:
-    """Train on the training documents.  Pass a written table: trees are grown in many passes."""
+def fit_gbt(features: DataFrame, share: float = 1.0, **params) -> GBTClassificationModel:
+    """Train on the training documents.  Pass a written table: trees are grown in many passes.
+
+    ``share`` bounds the labelled rows: that part of the training documents, chosen by a hash of the id; all by default.
+    """
     settings = {**fv.GBT_PARAMS, **params}
     classifier = GBTClassifier(featuresCol="features", labelCol="label", **settings)
-    return classifier.fit(assemble(features.filter(is_training(F.col("doc_id")))))
+    train = features.filter(is_training(F.col("doc_id")))
+    if share < 1.0:
+        train = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return classifier.fit(assemble(train))
 
 
 def gbt_predictions(model: GBTClassificationModel, features: DataFrame) -> DataFrame:

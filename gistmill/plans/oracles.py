@@ -51,10 +51,12 @@ def _wire(x: str) -> str:
     return rf"""regexp_replace(regexp_replace({x}, '\s*<[A-Z0-9.\-]{{1,10}}>', '', 'g'), '<([^<>]+)>', '\1', 'g')"""
 
 
-def _sanitise(x: str) -> str:
+def _sanitise(x: str, limit: int | None = None) -> str:
     plain = _wire(rf"regexp_replace({x}, '[\x00-\x08\x0b-\x1f]', ' ', 'g')")
     mail = rf"regexp_replace({plain}, '[\p{{L}}\p{{N}}_.+-]+@[\p{{L}}\p{{N}}_-]+\.[\p{{L}}\p{{N}}_.-]+', '[EMAIL]', 'g')"
-    return rf"substr(regexp_replace({mail}, '(^|[^0-9])(\+?[0-9][0-9\s\-()]{{8,}}[0-9])', '\1[PHONE]', 'g'), 1, 12000)"
+    inner = r"[\p{Nd}\s\x0b\x1c-\x1f\x{85}\p{Z}\-()]"
+    safe = rf"regexp_replace({mail}, '(^|[^\p{{Nd}}])(\+?\p{{Nd}}{inner}{{8,}}\p{{Nd}})', '\1[PHONE]', 'g')"
+    return f"substr({safe}, 1, {limit})" if limit else safe
 
 
 def _fingerprint(x: str) -> str:
@@ -340,14 +342,14 @@ def _rounded(sql: str, *columns: str) -> str:
 
 
 IN_USE = (["bodies", "state"], f"""
-    SELECT doc_ref AS doc_id, {_sanitise("text")} AS text FROM bodies
+    SELECT doc_ref AS doc_id, {_sanitise("text", 12000)} AS text FROM bodies
     WHERE doc_ref IN (SELECT doc_ref FROM state) OR doc_ref IN (SELECT set_ref FROM state)""")
 PROMPT_VALUES = {
     "style": _choice(TEXTS.styles, "style"),
     "length": _choice(TEXTS.lengths, "length"),
     "language": "language",
     "question": "substr(argument, 1, 500)",
-    "document": f"CASE WHEN s.doc_ref IS NULL OR s.doc_ref LIKE 'empty:%' THEN 'document' ELSE coalesce({_sanitise('text')}, '') END",
+    "document": f"CASE WHEN s.doc_ref IS NULL OR s.doc_ref LIKE 'empty:%' THEN 'document' ELSE coalesce({_sanitise('text', 12000)}, '') END",
 }
 USER_MESSAGE = f"""
     CASE WHEN command = 'ask' AND argument <> '' THEN {_filled(TEXTS.question, PROMPT_VALUES)}

@@ -61,14 +61,14 @@ class Workspace:
     def raw(self) -> DataFrame:
         """doc_id, split, category, title, text of every article."""
         articles = read_documents(self.spark, self.input("documents"))
-        return self.write_bucketed(ingest(articles, partitions=self.buckets), "raw")
+        raw = self.write_bucketed(ingest(articles, partitions=self.buckets), "raw")
+        self._check_unique(raw)
+        return raw
 
     @cached_property
     def docs(self) -> DataFrame:
         """Clean documents that passed the length gate."""
-        docs = self.write_bucketed(clean.prepare(self.raw), "docs")
-        self._check_unique(docs)
-        return docs
+        return self.write_bucketed(clean.prepare(self.raw), "docs")
 
     @cached_property
     def idf(self) -> DataFrame:
@@ -98,7 +98,7 @@ class Workspace:
 
     @cached_property
     def features(self) -> DataFrame:
-        return self.write(learner.sentence_features(self.docs, self.scores), "features")
+        return self.write_bucketed(learner.sentence_features(self.docs, self.scores), "features")
 
     @cached_property
     def gbt(self) -> GBTClassificationModel:
@@ -106,7 +106,7 @@ class Workspace:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        return learner.gbt_predictions(self.gbt, self.features)
+        return self.write_bucketed(learner.gbt_predictions(self.gbt, self.features), "predictions")
 
     @cached_property
     def summaries(self) -> DataFrame:

@@ -72,7 +72,7 @@ def test_streams_append_once(spark, tmp_path):
 
 def test_stream_equals_batch(spark, ws):
     batch = redaction.sanitised_stream(ws.documents())
-    assert batch.select(F.max(F.length("safe_text"))).first()[0] <= 12_000
+    assert batch.select(F.max(F.length("safe_text"))).first()[0] > 12_000  # whole texts
 
 
 def test_audit_lines(spark, tmp_path):

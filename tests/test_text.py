@@ -51,7 +51,19 @@ def test_redaction(one):
     assert one(text, tx.sanitise) == "Contact [EMAIL] or [PHONE]."
     assert one("a\x02b\tc\nd\x1fe", tx.strip_control) == "a b\tc\nd e"
     assert one("id 12345 stays", tx.sanitise) == "id 12345 stays"
-    assert one("x" * 13_000, lambda c: F.length(tx.sanitise(c))) == fv.PROMPT_DOCUMENT_CHARS
+    assert one("x" * 13_000, lambda c: F.length(tx.sanitise(c))) == 13_000
+    assert one("x" * 13_000, lambda c: F.length(tx.sanitise(c, 12_000))) == 12_000
+
+
+@pytest.mark.parametrize("number", [
+    "555\u00a0123\u00a04567", "\u0665\u0665\u0665 \u0661\u0662\u0663 \u0664\u0665\u0666\u0667", "555\u2003123-4567", "+91 (983) 001-2345",
+])
+def test_phone_numbers_of_any_script(one, number):
+    assert one(f"x {number} y", tx.sanitise) == "x [PHONE] y"
+
+
+def test_redaction_after_the_prompt_limit(one):
+    assert one("x " * 6_500 + "a@b.org", tx.sanitise).endswith("[EMAIL]")
 
 
 def test_fingerprint(one):
