@@ -45,7 +45,7 @@ ROWS = 6
 MISS = 1e-7
 SKETCH_BITS = 512
 SIGMAS = 5
-HUBS = 64
+HUBS = 64  # hubs of a bucket in the second round, as many times more in each later one
 LINKS = "a bigint, b bigint"
 
 
@@ -222,24 +222,27 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples:
     )
     percent = round(100 * similarity)
     used = tried = links = labels = None
+    lanes = 1
     while True:
         pairs = pairs.distinct()
         close = near_enough(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"),
                             sketches, similarity, samples)
         close = written(close, "pairs")
         tried = close if tried is None else tried.union(close)
-        if labels is None or not close.isEmpty():
-            found = written(confirmed(close, texts, similarity), "confirmed")
+        found = written(confirmed(close, texts, similarity), "confirmed")
+        if labels is None or not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = components(links)
-        labelled = members.drop("component").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        members = mixed_buckets(still_possible(mixed_buckets(labelled), texts, similarity))
+            labelled = members.select("bucket", "rep", "size", "weight").join(
+                labels.withColumnRenamed("node", "rep"), "rep", "left")
+            labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
+            members = mixed_buckets(still_possible(mixed_buckets(labelled), texts, similarity))
         fresh = members.where("component <> largest")
         if used is not None:
             fresh = fresh.join(used, ["bucket", "rep"], "left_anti")
+        lanes = min(lanes * HUBS, 1 << 40)
         hubs = written(
-            fresh.groupBy("bucket", (F.xxhash64("rep") % HUBS).alias("lane"))
+            fresh.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane"))
             .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "component", "size", "n")).alias("hub"))
             .select("bucket", (-F.col("hub.rep")).alias("hub"), F.col("hub.component").alias("hub_component"),
                     F.col("hub.size").alias("hub_size"), F.col("hub.n").alias("hub_n")), "hubs")
@@ -251,7 +254,6 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples:
             F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
         served = hubs.select("bucket", F.col("hub").alias("rep"))
         used = served if used is None else used.union(served)
-        members = members.select("bucket", "rep", "size", "weight")
 
 
 def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
