@@ -13,7 +13,8 @@ one class, represented by the least id; only representatives go on.
    that have too few shingles in common with other components to have a link
    (``still_possible``), with further hubs, taken
    from the members outside the bucket's largest component, until each such
-   member has been a hub.  No link between two members of a bucket is lost: they
+   member has been a hub.  A pair is made in the first bucket it shares, and only if
+   its sketches are close.  No link between two members of a bucket is lost: they
    end in one component, or one of them has been a hub and met the other.
 
 ``bands`` follows from the threshold so that a pair at the threshold shares no
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
@@ -43,7 +44,7 @@ WORDS = 5
 SIMILARITY = 0.8
 ROWS = 6
 MISS = 1e-7
-SKETCH_BITS = 512
+SKETCH_BITS = 1024
 SIGMAS = 5
 HUBS = 64  # hubs of a bucket in the second round, as many times more in each later one
 LINKS = "a bigint, b bigint"
@@ -121,17 +122,26 @@ def signatures(docs: DataFrame, bands: int) -> DataFrame:
         sign, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, odd array<bigint>")
 
 
-def near_enough(pairs: DataFrame, sketches: DataFrame, similarity: float, samples: int) -> DataFrame:
-    """The pairs whose odd sketches do not rule out ``similarity`` (by ``SIGMAS`` standard deviations)."""
-    words = SKETCH_BITS // 64
-    sigma = math.sqrt(similarity * (1 - similarity) / samples)
-    floor = max(similarity - SIGMAS * sigma, 0.0)
-    expected = SKETCH_BITS / 2 * (1 - math.exp(-4 * samples * (1 - floor) / SKETCH_BITS))
-    most = expected + SIGMAS * math.sqrt(SKETCH_BITS) / 4
+def sketch_limit(similarity: float, samples: int) -> float:
+    """The bits in which the sketches of two documents of ``similarity`` differ at most, ``SIGMAS`` deviations included."""
+    flips = 2 * samples * (1 - similarity)  # minima that are not shared, each of which flips a bit
+    left = math.exp(-2 * flips / SKETCH_BITS)
+    expected = SKETCH_BITS / 2 * (1 - left)
+    of_samples = 2 * samples * left * math.sqrt(similarity * (1 - similarity) / samples)
+    of_collisions = SKETCH_BITS / 4 * (1 - left ** 2) - flips * left ** 2
+    return expected + SIGMAS * math.sqrt(of_samples ** 2 + of_collisions)
+
+
+def differing(left: str, right: str) -> Column:
+    """The bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+
+
+def near_enough(pairs: DataFrame, sketches: DataFrame, most: float) -> DataFrame:
+    """The pairs whose odd sketches differ in ``most`` bits or fewer."""
     left = sketches.select(F.col("rep").alias("a"), F.col("odd").alias("odd_a"))
     right = sketches.select(F.col("rep").alias("b"), F.col("odd").alias("odd_b"))
-    differ = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(words)), F.lit(0))
-    return pairs.join(left, "a").join(right, "b").where(differ <= most).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(differing("odd_a", "odd_b") <= most).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -166,7 +176,7 @@ def mixed_buckets(labelled: DataFrame) -> DataFrame:
 
 
 def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The rows of ``members`` whose document may have a link to another component, with ``n``, its shared shingles.
+    """The rows of ``members`` whose document may have a link to another component, with bands, odd and ``n``, its shared shingles.
 
     A link needs ``similarity / (1 + similarity)`` of both sizes in common.  A shingle
     that no other component has cannot be in common, so a copy with many
@@ -197,12 +207,14 @@ def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> D
     enough = (
         rows.join(common, "shingle").groupBy("rep").agg(F.count("*").alias("n")).join(reps, "rep")
         .where(F.col("n") * (100 + percent) >= percent * (F.col("size") + F.col("least"))).select("rep", "n")
+        .join(texts.select("rep", "bands", "odd"), "rep")
     )
     return members.join(written(enough, "possible"), "rep")
 
 
 def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples: int) -> DataFrame:
     """rep, component of the representatives that have links."""
+    most = sketch_limit(similarity, samples)
     members = classes.select("rep", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
     sizes = written(
         members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
@@ -211,23 +223,21 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples:
     weights = written(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     members = written(members.join(weights, "rep").select("bucket", "rep", "size", "weight"), "members")
     texts = written(
-        docs.join(weights.select(F.col("rep").alias("doc_id")), "doc_id")
-        .select(F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]), "texts")
-    sketches = classes.select("rep", "odd")
+        docs.withColumnRenamed("doc_id", "rep").join(weights.select("rep"), "rep").select("rep", "text").dropDuplicates(["rep"])
+        .join(classes.select("rep", "bands", "odd"), "rep"), "texts")
     best = F.max(F.struct("weight", (-F.col("rep")).alias("rep")))
     hubs = written(members.groupBy("bucket").agg(best.alias("hub")), "hubs")
     pairs = (
         members.join(hubs, "bucket").groupBy(F.col("rep").alias("a")).agg((-F.max("hub")["rep"]).alias("b"))
         .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
+    pairs = near_enough(pairs, texts, most)
     percent = round(100 * similarity)
     used = tried = links = labels = None
     lanes = 1
     while True:
-        pairs = pairs.distinct()
-        close = near_enough(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"),
-                            sketches, similarity, samples)
-        close = written(close, "pairs")
+        close = pairs.distinct()
+        close = written(close if tried is None else close.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = close if tried is None else tried.union(close)
         found = written(confirmed(close, texts, similarity), "confirmed")
         if labels is None or not found.isEmpty():
@@ -243,14 +253,19 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples:
         lanes = min(lanes * HUBS, 1 << 40)
         hubs = written(
             fresh.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane"))
-            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "component", "size", "n")).alias("hub"))
+            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "component", "size", "n", "bands", "odd")).alias("hub"))
             .select("bucket", (-F.col("hub.rep")).alias("hub"), F.col("hub.component").alias("hub_component"),
-                    F.col("hub.size").alias("hub_size"), F.col("hub.n").alias("hub_n")), "hubs")
+                    F.col("hub.size").alias("hub_size"), F.col("hub.n").alias("hub_n"),
+                    F.col("hub.bands").alias("hub_bands"), F.col("hub.odd").alias("hub_odd")), "hubs")
         if hubs.isEmpty():
             return labels.withColumnRenamed("node", "rep")
         # what two documents have in common is at most what either shares with any other component
         enough = F.least("n", "hub_n") * (100 + percent) >= percent * (F.col("size") + F.col("hub_size"))
-        pairs = members.join(hubs, "bucket").where(F.col("component") != F.col("hub_component")).where(enough).select(
+        # a pair that shares several buckets is made in the first of them, when its hub's turn comes there
+        first = F.get(F.array_intersect("bands", "hub_bands"), F.lit(0)) == F.col("bucket")
+        near = differing("odd", "hub_odd") <= most
+        pairs = members.join(hubs, "bucket").where(F.col("component") != F.col("hub_component")).where(
+            enough & near & first).select(
             F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
         served = hubs.select("bucket", F.col("hub").alias("rep"))
         used = served if used is None else used.union(served)
