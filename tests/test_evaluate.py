@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -29,6 +31,14 @@ def test_lcs(spark, pairs):
     assert found == {i: table_lcs(a, b) for i, (a, b) in enumerate(pairs)}
 
 
+def test_lcs_of_repeated_words(spark):
+    """One word many times on both sides costs the product of the lengths, not more."""
+    df = spark.createDataFrame([(["a"] * 3000, ["a"] * 2990)], "a array<string>, b array<string>")
+    start = time.monotonic()
+    assert df.select(lcs_length(F.col("a"), F.col("b"))).first()[0] == 2990
+    assert time.monotonic() - start < 60
+
+
 def test_ngrams(spark):
     df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
     grams = [tuple(r) for r in df.select(*[ngrams(F.col("t"), n) for n in (1, 2, 3)]).collect()]
