@@ -22,6 +22,12 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(F.array(row)))
 
 
+def bounded_key(value: Column, chars: int = 64) -> Column:
+    """A join key of at most ``chars`` + 1 characters: the value behind a mark, or the digest of a longer one behind another."""
+    return F.when(F.length(value) <= chars, F.concat(F.lit("="), value)).otherwise(
+        F.concat(F.lit("#"), F.sha2(value, 256)))
+
+
 def fill_template(template: str, values: Mapping[str, Column]) -> Column:
     """A ``{name}`` template as one concatenation; inserted texts are not scanned again."""
     parts = []

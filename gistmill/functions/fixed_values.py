@@ -32,6 +32,16 @@ PROMPT_QUESTION_CHARS = 500
 PROMPT_PREVIEW_CHARS = 900
 ABSTRACTIVE_INPUT_CHARS = 3_000
 
+# --- names that commands and result tables use --------------------------------
+SUMMARY_STYLES = ("paragraph", "bullets", "tldr", "eli5", "executive")
+SUMMARY_LENGTHS = ("short", "medium", "long")
+MODEL_COLUMNS = {
+    "Lead-3": "lead3",
+    "Spark TF-IDF": "tfidf_summary",
+    "Spark ML GBT": "gbt_summary",
+    "TextRank": "textrank_summary",
+}
+
 # --- graph ranking and classifier -------------------------------------------
 DAMPING = 0.85
 RANK_ROUNDS = 50

@@ -12,21 +12,22 @@ object store, whose encryption is set in the Hadoop configuration.
 from __future__ import annotations
 
 import argparse
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import sources
 from .functions import text as tx
-from .operators import clean, eda, evaluate, learner, sentences, textrank, weights
-from .session import get_spark, shared_folder
+from .operators import clean, eda, evaluate, learner
+from .plans.workspace import Workspace
+from .session import get_spark
 
 
 def load(spark: SparkSession, articles: str, out: str) -> None:
     """Raw table as CSV files."""
     raw = sources.ingest(sources.spread(spark.read.parquet(articles)))
     sources.write_raw_csv(raw, f"{out}/raw_csv")
+    sources.check_unique(sources.read_raw_csv(spark, f"{out}/raw_csv"))
 
 
 def clean_corpus(spark: SparkSession, out: str) -> None:
@@ -57,43 +58,23 @@ def explore(spark: SparkSession, out: str) -> None:
         sources.write_small_csv(table, f"{out}/{name}")
 
 
-def summarise(spark: SparkSession, out: str) -> None:
-    """Summaries of all models as Parquet; importances, AUC and the comparison as CSV."""
-    # one shuffle; every step by document then finds its rows in their bucket
-    clean_table = sources.read_clean(spark, f"{out}/clean").drop("text")
-    buckets = sources.bucket_count(clean_table)
-    run = f"gistmill_{uuid.uuid4().hex[:12]}"
-    docs = sources.write_bucketed(
-        clean_table.repartition(buckets, "doc_id"), f"{shared_folder(spark)}/{run}", f"{run}_docs", buckets
-    )
-    idf = _written(weights.idf_table(docs), f"{out}/idf")
-    index = weights.index_idf(idf)
-    scores = _written(sentences.sentence_scores(docs, index), f"{out}/scores")
-    features = _written(learner.sentence_features(docs, scores), f"{out}/features")
-    model = learner.fit_gbt(features)
-    predictions = learner.gbt_predictions(model, features)
-    sources.write_small_csv(learner.importances(spark, model), f"{out}/gbt_importance")
-    auc = spark.createDataFrame([(learner.area_under_roc(predictions),)], "auc double")
-    sources.write_small_csv(auc, f"{out}/gbt_auc")
+def summarise(spark: SparkSession, out: str) -> Workspace:
+    """Summaries of all models as Parquet; importances, AUC and the comparison as CSV.
 
-    table = evaluate.assemble_summaries(
-        docs,
-        sentences.lead_summary(docs),
-        sentences.tfidf_summary(scores, docs),
-        learner.gbt_summary(predictions, docs),
-        textrank.textrank_summary(textrank.textrank(docs), docs),
-        weights.keywords(weights.term_weights(docs, index)),
-    )
-    sources.write_summaries(table, f"{out}/summaries")
-    held_out = spark.read.parquet(f"{out}/summaries").filter(~learner.is_training(F.col("doc_id")))
-    long = evaluate.by_model(held_out)
-    tokens = _written(evaluate.tokenised(long, stemmed=True), f"{out}/tokens")
-    sources.write_small_csv(evaluate.compare_models(long, tokens), f"{out}/model_results")
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    Runs on the stages that the registered queries use: one shuffle by document,
+    after which every step finds its rows in their bucket.
+    """
+    ws = Workspace(spark, out, clean=sources.read_clean(spark, f"{out}/clean").drop("text"))
+    sources.write_small_csv(learner.importances(spark, ws.gbt), f"{out}/gbt_importance")
+    auc = spark.createDataFrame([(learner.area_under_roc(ws.predictions),)], "auc double")
+    sources.write_small_csv(auc, f"{out}/gbt_auc")
+    sources.write_summaries(ws.all_summaries, f"{out}/summaries")
+    test_set = ~learner.is_training(F.col("doc_id"))
+    long = evaluate.by_model(ws.all_summaries.filter(test_set))
+    tokens = ws.write_bucketed(evaluate.tokenised(long, stemmed=True), "test_tokens")
+    results = evaluate.compare_models(long, tokens)
+    sources.write_small_csv(results, f"{out}/model_results")
+    return ws
 
 
 def main() -> None:

@@ -7,29 +7,31 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
 from ..functions.exprs import once
 from ..functions.porter import stem_tokens
 from ..functions.sequences import lcs_length, ngrams
+from .sentences import join_picked, lead
 
-MODELS = {
-    "Lead-3": "lead3",
-    "Spark TF-IDF": "tfidf_summary",
-    "Spark ML GBT": "gbt_summary",
-    "TextRank": "textrank_summary",
-}
 
+def assemble_summaries(docs: DataFrame, keywords: DataFrame, **picks: DataFrame) -> DataFrame:
+    """One row per document: lead, one summary for each table (doc_id, picked) of ``picks``, and keywords.
 
-def assemble_summaries(docs: DataFrame, *summaries: DataFrame) -> DataFrame:
-    """Left join of any number of (doc_id, <summary>) tables; all of them share the partitioning of ``docs``."""
-    table = docs.select("doc_id", "category", "title", "n_words")
-    for summary in summaries:
-        table = table.join(summary, "doc_id", "left")
-    return table
+    Only sentence numbers are joined, as the hashed side, so the texts are read
+    once, in one pass, and never sorted.  A document without a pick has no summary.
+    """
+    table = docs.select("doc_id", "category", "title", "n_words", "sentences")
+    for name, picked in picks.items():
+        numbers = picked.select("doc_id", F.col("picked").alias(name))
+        table = table.join(numbers.hint("shuffle_hash"), "doc_id", "left")
+    table = table.join(keywords.hint("shuffle_hash"), "doc_id", "left")
+    written_out = [join_picked(F.col("sentences"), F.col(name)).alias(name) for name in picks]
+    return table.select("doc_id", "category", "title", "n_words", lead().alias("lead3"), *written_out, "keywords")
 
 
-def by_model(summaries: DataFrame, models: Mapping[str, str] = MODELS) -> DataFrame:
+def by_model(summaries: DataFrame, models: Mapping[str, str] = fv.MODEL_COLUMNS) -> DataFrame:
     """One row per document and model, the set that is evaluated.
 
     Documents without keywords and missing summaries give no row.  A generator,
@@ -57,36 +59,24 @@ def tokenised(long: DataFrame, stemmed: bool = False) -> DataFrame:
 def rouge_n(tokens: DataFrame, sizes: Sequence[int] = (1, 2)) -> DataFrame:
     """(doc_id, model, n, recall): headline n-grams found in the summary, each at most as often as it occurs.
 
-    All sizes and both sides are counted in one grouping by n-gram, linear in the text length.
+    A projection: only grams that both sides have are counted, inside the row,
+    in the product of the lengths at most.
     """
+    sides = {f"{side}_{n}": ngrams(F.col(side), n) for n in sizes for side in ("reference", "candidate")}
+    grams = once(tokens.select("doc_id", "model", "reference", "candidate"), **sides)
 
-    def tagged(side: str, n: int) -> Column:
-        in_reference = int(side == "reference")
-        return F.transform(
-            ngrams(F.col(side), n),
-            lambda g: F.struct(
-                F.lit(n).alias("n"), g.alias("gram"),
-                F.lit(in_reference).alias("ref"), F.lit(1 - in_reference).alias("cand"),
-            ),
-        )
-
-    # an entry without a gram keeps pairs that have no n-gram at all
-    blank = F.array(*[
-        F.struct(F.lit(n).alias("n"), F.lit(None).cast("string").alias("gram"),
-                 F.lit(0).alias("ref"), F.lit(0).alias("cand"))
-        for n in sizes
-    ])
-    listed = F.concat(blank, *[tagged(side, n) for n in sizes for side in ("reference", "candidate")])
-    counted = (
-        tokens.select("doc_id", "model", F.inline(listed))
-        .groupBy("doc_id", "model", "n", "gram")
-        .agg(F.sum("ref").alias("ref"), F.sum("cand").alias("cand"))
-    )
-    sums = counted.groupBy("doc_id", "model", "n").agg(
-        F.sum(F.least("ref", "cand")).alias("hits"), F.sum("ref").alias("total")
-    )
-    recall = F.when(F.col("total") > 0, F.col("hits") / F.col("total")).otherwise(0.0)
-    return sums.select("doc_id", "model", "n", recall.alias("recall"))
+    def count(side: str, gram: Column) -> Column:
+        return F.size(side) - F.size(F.array_remove(side, gram))
+
+    def recall(n: int) -> Column:
+        reference, candidate = f"reference_{n}", f"candidate_{n}"
+        hits = F.aggregate(
+            F.array_intersect(reference, candidate), F.lit(0),
+            lambda total, gram: total + F.least(count(reference, gram), count(candidate, gram)))
+        return F.when(F.size(reference) > 0, hits / F.size(reference)).otherwise(0.0)
+
+    found = F.array(*[F.struct(F.lit(n).alias("n"), recall(n).alias("recall")) for n in sizes])
+    return grams.select("doc_id", "model", F.inline(found))
 
 
 def rouge_l(tokens: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
-from .weights import IdfIndex, attach_idf
+from .weights import IdfIndex, attach_idf, bare, with_rare
 
 
 def sentence_table(docs: DataFrame, stop_words: Sequence[str] = fv.ENGLISH_STOP_WORDS) -> DataFrame:
@@ -32,13 +32,24 @@ def sentence_scores(
     """TF-IDF score of every sentence, those without any term included.
 
     Sentences partition a document's tokens, so a term's frequency in the
-    document is its number of rows here.  On a table bucketed by doc_id neither
-    the window nor the grouping needs a shuffle.
+    document is its number of rows here.  The document's rare terms stand beside
+    its sentences, as an entry without a number, so the window that counts a term
+    also hands it its idf.  On tables bucketed by doc_id neither the joins, the
+    window nor the grouping need a shuffle.
     """
-    terms = sentence_table(docs, stop_words).select("doc_id", "sent_idx", F.explode_outer("terms").alias("term"))
-    counted = terms.withColumn("tf", F.count("term").over(W.partitionBy("doc_id", "term")))
+    numbered = F.transform("sentences", lambda s, i: F.struct(
+        i.alias("sent_idx"), bare(tk.content_terms(s, stop_words)).alias("terms")))
+    beside = F.array(F.struct(F.lit(None).cast("int").alias("sent_idx"), F.col("rare").alias("terms")))
+    entries = with_rare(docs.select("doc_id", "sentences"), index).select(
+        "doc_id", F.inline(F.concat(numbered, beside)))
+    terms = entries.select("doc_id", "sent_idx", F.inline_outer("terms"))
+    of_term = W.partitionBy("doc_id", "term")
+    counted = terms.select(
+        "doc_id", "sent_idx", "term",
+        F.count("sent_idx").over(of_term).alias("tf"), F.max("idf").over(of_term).alias("idf"),
+    ).filter(F.col("sent_idx").isNotNull())
     weight = F.coalesce(F.col("tf") * F.col("idf"), F.lit(0.0))
-    sums = attach_idf(counted, index).groupBy("doc_id", "sent_idx").agg(
+    sums = attach_idf(counted, index.hot).groupBy("doc_id", "sent_idx").agg(
         F.sum(weight).alias("wsum"), F.count("term").alias("n_terms")
     )
     length = F.sqrt(F.greatest("n_terms", F.lit(1)).cast("double"))
@@ -73,9 +84,13 @@ def summary_from(docs: DataFrame, picks: DataFrame, name: str) -> DataFrame:
     )
 
 
+def lead(k: int = fv.SUMMARY_SENTENCES) -> Column:
+    return F.array_join(F.slice("sentences", 1, k), " ")
+
+
 def lead_summary(docs: DataFrame, k: int = fv.SUMMARY_SENTENCES, name: str = "lead3") -> DataFrame:
     """The first ``k`` sentences; a projection, no grouping needed."""
-    return docs.select("doc_id", F.array_join(F.slice("sentences", 1, k), " ").alias(name))
+    return docs.select("doc_id", lead(k).alias(name))
 
 
 def tfidf_summary(scores: DataFrame, docs: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:

@@ -73,13 +73,17 @@ def sentence_ranks(ranked: DataFrame) -> DataFrame:
     return rows.select("doc_id", "sent_idx", "r.similarity", "r.rank")
 
 
-def textrank_summary(ranked: DataFrame, docs: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
-    """The ``k`` best ranked sentences of each document in their original order.
+def pick_ranked(ranked: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
+    """(doc_id, picked): indices of the ``k`` best ranked sentences in document order.
 
     Ranks equal to nine decimals tie and the earlier sentence wins, so a document
     without links is summarised by its first ``k`` sentences.
     """
     keyed = F.transform("ranks", lambda r, i: F.struct((-F.round(r, 9)).alias("key"), i.alias("sent_idx")))
     best = F.slice(F.array_sort(keyed), 1, k)
-    picks = ranked.select("doc_id", F.sort_array(best["sent_idx"]).alias("picked"))
-    return summary_from(docs, picks, "textrank_summary")
+    return ranked.select("doc_id", F.sort_array(best["sent_idx"]).alias("picked"))
+
+
+def textrank_summary(ranked: DataFrame, docs: DataFrame, k: int = fv.SUMMARY_SENTENCES) -> DataFrame:
+    """The best ranked sentences of each document in their original order."""
+    return summary_from(docs, pick_ranked(ranked, k), "textrank_summary")

@@ -13,20 +13,29 @@ import uuid
 from functools import cached_property
 
 from pyspark.ml.classification import GBTClassificationModel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import assistant, clean, eda, evaluate, learner, sentences, textrank, weights
 from ..session import shared_folder
-from ..sources import bucket_count, ingest, read_documents, spread, write_bucketed
+from ..sources import bucket_count, check_unique, ingest, read_documents, spread, write_bucketed
+from ..sources.corpus import BUCKET_BYTES, input_bytes
 from . import request_log
 
 
 class Workspace:
-    """The stages of one input folder; each is computed at first use and written once."""
+    """The stages of one input folder; each is computed at first use and written once.
 
-    def __init__(self, spark: SparkSession, input_dir: str, bucket_bytes: int = 64 << 20):
+    ``clean`` may give the clean table itself; stages before it then do not exist.
+    """
+
+    def __init__(
+        self, spark: SparkSession, input_dir: str, bucket_bytes: int = BUCKET_BYTES, clean: DataFrame | None = None
+    ):
         self.spark = spark
         self.input_dir = input_dir.rstrip("/")
+        self.clean = clean
+        self.tables: list[str] = []
         self.bucket_bytes = bucket_bytes
         self.run = f"gistmill_{uuid.uuid4().hex[:12]}"
         self.folder = f"{shared_folder(spark)}/{self.run}"
@@ -44,11 +53,18 @@ class Workspace:
         return self.spark.read.parquet(self.path(name))
 
     def write_bucketed(self, df: DataFrame, name: str) -> DataFrame:
-        return write_bucketed(df, self.path(name), f"{self.run}_{name}", self.buckets)
+        self.tables.append(f"{self.run}_{name}")
+        return write_bucketed(df, self.path(name), self.tables[-1], self.buckets)
+
+    def forget(self) -> None:
+        """Take the bucketed tables out of the session's catalog; ``folder`` can then be deleted as a whole."""
+        while self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
 
     @cached_property
     def buckets(self) -> int:
-        return bucket_count(self.spark.read.parquet(self.input("documents")), self.bucket_bytes)
+        source = self.spark.read.parquet(self.input("documents")) if self.clean is None else self.clean
+        return bucket_count(source, self.bucket_bytes)
 
     def input(self, table: str) -> str:
         return f"{self.input_dir}/{table}.parquet"
@@ -62,12 +78,14 @@ class Workspace:
         """doc_id, split, category, title, text of every article."""
         articles = read_documents(self.spark, self.input("documents"))
         raw = self.write_bucketed(ingest(articles, partitions=self.buckets), "raw")
-        self._check_unique(raw)
+        check_unique(raw)
         return raw
 
     @cached_property
     def docs(self) -> DataFrame:
         """Clean documents that passed the length gate."""
+        if self.clean is not None:
+            return self.write_bucketed(self.clean.repartition(self.buckets, "doc_id"), "docs")
         return self.write_bucketed(clean.prepare(self.raw), "docs")
 
     @cached_property
@@ -76,7 +94,16 @@ class Workspace:
 
     @cached_property
     def idf_index(self) -> weights.IdfIndex:
-        return weights.index_idf(self.idf)
+        return self.index_idf()
+
+    def index_idf(self, hot_terms: int = weights.HOT_TERMS) -> weights.IdfIndex:
+        """The idf cut for joining; both parts are written, the rare terms in their documents' buckets."""
+        least = weights.least_hot_df(self.idf, hot_terms)
+        hot = self.write(weights.hot_idf(self.idf, least), f"hot_idf_{least}")
+        if least <= 1:
+            return weights.IdfIndex(hot, None)
+        rare = weights.rare_idf(self.docs, self.idf, hot, least, self.buckets)
+        return weights.IdfIndex(hot, self.write_bucketed(rare, f"rare_idf_{least}"))
 
     @cached_property
     def term_weights(self) -> DataFrame:
@@ -84,8 +111,7 @@ class Workspace:
 
     @cached_property
     def scores(self) -> DataFrame:
-        scores = sentences.sentence_scores(self.docs, self.idf_index)
-        return self.write_bucketed(self._in_buckets(scores), "scores")
+        return self.write_bucketed(sentences.sentence_scores(self.docs, self.idf_index), "scores")
 
     @cached_property
     def ranks(self) -> DataFrame:
@@ -94,7 +120,7 @@ class Workspace:
 
     @cached_property
     def keywords(self) -> DataFrame:
-        return self.write_bucketed(self._in_buckets(weights.keywords(self.term_weights)), "keywords")
+        return self.write_bucketed(weights.keywords(self.term_weights), "keywords")
 
     @cached_property
     def features(self) -> DataFrame:
@@ -111,20 +137,20 @@ class Workspace:
     @cached_property
     def summaries(self) -> DataFrame:
         """Lead, tf-idf and graph summaries with keywords."""
-        table = evaluate.assemble_summaries(
-            self.docs,
-            sentences.lead_summary(self.docs),
-            sentences.tfidf_summary(self.scores, self.docs),
-            textrank.textrank_summary(self.ranks, self.docs),
-            self.keywords,
-        )
-        return self.write_bucketed(table, "summaries")
+        return self.write_bucketed(evaluate.assemble_summaries(self.docs, self.keywords, **self._picks()), "summaries")
+
+    def _picks(self) -> dict[str, DataFrame]:
+        return {
+            "tfidf_summary": sentences.pick_top(self.scores, "tfidf_score"),
+            "textrank_summary": textrank.pick_ranked(self.ranks),
+        }
 
     @cached_property
     def all_summaries(self) -> DataFrame:
         """The summaries with those of the classifier, which exist for test documents only."""
-        learned = learner.gbt_summary(self.predictions, self.docs)
-        return self.write_bucketed(self.summaries.join(learned, "doc_id", "left"), "all_summaries")
+        learned = sentences.pick_top(self.predictions, "p")
+        table = evaluate.assemble_summaries(self.docs, self.keywords, **self._picks(), gbt_summary=learned)
+        return self.write_bucketed(table, "all_summaries")
 
     @cached_property
     def tokens(self) -> DataFrame:
@@ -142,7 +168,8 @@ class Workspace:
 
     @cached_property
     def session_state(self) -> DataFrame:
-        commands = assistant.parse_commands(request_log.from_conversations(self.spark, self.input("conversations")))
+        log = request_log.from_conversations(self.spark, self.input("conversations"))
+        commands = self.write(assistant.parse_commands(log), "commands")
         state = assistant.session_state(self.write(assistant.resolve_documents(commands, self.raw), "resolved"))
         return self.write(state, "session_state")
 
@@ -150,25 +177,23 @@ class Workspace:
     def documents_in_use(self) -> DataFrame:
         return self.write(assistant.documents_in_use(self.session_state, self.raw), "documents_in_use")
 
-    def _in_buckets(self, df: DataFrame) -> DataFrame:
-        # already the partitioning of bucketed input unless rare terms were shuffled
-        if self.idf_index.cold is None:
-            return df
-        return df.repartition(self.buckets, "doc_id")
 
-    @staticmethod
-    def _check_unique(docs: DataFrame) -> None:
-        repeated = docs.groupBy("doc_id").count().filter("count > 1").first()
-        if repeated is not None:
-            raise ValueError(f"doc_id must be unique; {repeated['doc_id']!r} occurs {repeated['count']} times")
-
-
-_OPEN: dict[tuple[str, str], Workspace] = {}
+_OPEN: dict[tuple, Workspace] = {}
 
 
 def workspace(spark: SparkSession, input_dir: str) -> Workspace:
-    """The workspace of this application for ``input_dir``; queries share its stages."""
-    key = (spark.sparkContext.applicationId, input_dir.rstrip("/"))
+    """The workspace of this application for ``input_dir``; queries share its stages while the input's files are the same."""
+    files = [_files(spark, f"{input_dir.rstrip('/')}/{table}.parquet") for table in ("documents", "conversations")]
+    key = (spark.sparkContext.applicationId, input_dir.rstrip("/"), *files)
     if key not in _OPEN:
         _OPEN[key] = Workspace(spark, input_dir)
     return _OPEN[key]
+
+
+def _files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """A hash of the names of the files and their bytes; without a schema to look for nothing is read."""
+    try:
+        table = spark.read.schema("x int").parquet(path)
+    except AnalysisException:  # not every input has every table
+        return 0, 0
+    return hash(frozenset(table.inputFiles())), input_bytes(table)

@@ -74,6 +74,13 @@ def ingest(articles: DataFrame, decode: bool = True, partitions: int | None = No
     return once(cut, title=tx.blank_to_null(title), text=tx.blank_to_null(text))
 
 
+def check_unique(table: DataFrame, key: str = "doc_id") -> None:
+    """Raise if a key occurs twice; free of a shuffle on a table bucketed by the key."""
+    repeated = table.groupBy(key).count().filter("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"{key} must be unique; {repeated[key]!r} occurs {repeated['count']} times")
+
+
 def input_bytes(df: DataFrame) -> int:
     """Spark's estimate of the size of ``df``; for a plain file scan the size of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from gistmill.operators import assistant, eda, sentences, skew, textrank, weights
+from gistmill.operators import assistant, eda, evaluate, sentences, skew, textrank, weights
 
 
 def plan_of(df):
@@ -19,15 +19,11 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-def test_rare_terms_join_as_well_as_frequent_ones(ws):
-    whole = weights.index_idf(ws.idf)
-    cut = weights.index_idf(ws.idf, hot_terms=50)
-    short = weights.index_idf(ws.idf, hot_chars=6)
-    assert whole.cold is None and cut.cold is not None and short.cold is not None
-    assert cut.hot.count() == 50
-    expected = rows(weights.term_weights(ws.docs, whole))
-    assert rows(weights.term_weights(ws.docs, cut)) == expected
-    assert rows(weights.term_weights(ws.docs, short)) == expected
+def test_rare_terms_join_as_well_as_frequent_ones(spark, ws):
+    whole, cut = ws.idf_index, ws.index_idf(hot_terms=50)
+    assert whole.rare is None and cut.rare is not None
+    assert 0 < cut.hot.count() <= 50
+    assert rows(weights.term_weights(ws.docs, cut)) == rows(weights.term_weights(ws.docs, whole))
 
     def rounded(index):
         scores = sentences.sentence_scores(ws.docs, index)
@@ -35,13 +31,55 @@ def test_rare_terms_join_as_well_as_frequent_ones(ws):
 
     assert rounded(cut) == rounded(whole)
 
+    # the plan of a large vocabulary: documents read and exploded once, no posting moved, no top-k
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (sentences.sentence_scores(ws.docs, cut), weights.term_weights(ws.docs, cut),
+                   weights.keywords(weights.term_weights(ws.docs, cut))):
+            plan = plan_of(df)
+            assert shuffles(df) == 0
+            assert plan.count("FileScan") == 3  # documents, hot terms, rare terms
+            assert "TakeOrdered" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_terms_are_the_most_frequent(spark):
+    idf = spark.createDataFrame(
+        [("x" * 100, 900, 1.0), *[(f"a{i}", 500, 2.0) for i in range(3)], *[(f"b{i}", 1, 3.0) for i in range(30)]],
+        "term string, df long, idf double")
+    assert weights.least_hot_df(idf, 34) == 1
+    assert weights.least_hot_df(idf, 33) == 500
+    assert weights.least_hot_df(idf, 3) == 900
+    assert weights.hot_idf(idf, weights.least_hot_df(idf, 0)).count() == 0
+    docs = spark.createDataFrame([(1, ["x" * 100, "a0", "b1", "b1"]), (2, ["a1"]), (3, [])], "doc_id long, tokens array<string>")
+    for limit in (34, 33, 3, 0):
+        least = weights.least_hot_df(idf, limit)
+        hot = weights.hot_idf(idf, least)
+        index = weights.IdfIndex(hot, weights.rare_idf(docs, idf, hot, least, 3))
+        assert rows(weights.term_weights(docs, index)) == [
+            (1, "a0", 1, 2.0), (1, "b1", 2, 6.0), (1, "x" * 100, 1, 1.0), (2, "a1", 1, 2.0)]
+
+
+def test_summaries_read_the_texts_once(spark, ws):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = evaluate.assemble_summaries(ws.docs, ws.keywords, **ws._picks())
+        plan = plan_of(df)
+        assert shuffles(df) == 0
+        assert len(re.findall(r"FileScan[^\n]*sentences", plan)) == 1
+        assert not re.search(r"SortMergeJoin", plan)
+        assert shuffles(evaluate.rouge_n(ws.tokens)) == 0 and "Aggregate" not in plan_of(evaluate.rouge_n(ws.tokens))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
 
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(1000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot")
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot" * 100)
         .otherwise(F.concat(F.lit("k"), "id")).alias("key"), F.col("id").alias("v")
     )
-    right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k5", 3), ("unused", 4)], "key string, w int")
+    right = spark.createDataFrame([("hot" * 100, 1), ("k2", 2), ("k5", 3), ("unused", 4)], "key string, w int")
     plain = left.join(right, "key", "left")
     salted = skew.salted_join(left, right, "key", hot_rows=100)
     assert salted.columns == plain.columns
@@ -49,8 +87,8 @@ def test_salted_join_equals_plain_join(spark):
 
 
 def test_salting_spreads_the_hot_key(spark):
-    left = spark.range(4000).select(F.lit("hot").alias("key"), F.col("id").alias("v"))
-    right = spark.createDataFrame([("hot", 1)], "key string, w int")
+    left = spark.range(4000).select(F.lit("hot" * 100).alias("key"), F.col("id").alias("v"))
+    right = spark.createDataFrame([("hot" * 100, 1)], "key string, w int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
