@@ -11,8 +11,9 @@ piece, and a hot source or cluster is spread evenly over the shards.  In a shard
 bins stand in order of their residual room.  Each bin carries a bitmap of its clusters and one bitmap
 per allowed repetition of a source.  The search starts at the least residual
 that holds the piece and goes on to its successors until a bin is compatible;
-only if none is, a bin is opened.  A run of equal pieces resumes where the one
-before it ended, as all tighter bins still conflict.
+only if none is, a bin is opened.  In a run of equal pieces all tighter bins
+still conflict, but for the one just filled: it is tried first, then the search
+resumes where it ended.
 
 Defined results: a null or empty text has no words and is not packed (no rows);
 null sources are one source; repeated rows are separate pieces of one cluster.
@@ -45,28 +46,34 @@ class Bins:
         self.clusters: list[int] = []
         self.sources: list[list[int]] = []
         self.per_source = per_source
-        self.last: tuple[tuple, tuple[int, int]] | None = None
+        # the last piece, where its search ended, and its bin as it stands now: the only one before that place that may fit again
+        self.last: tuple[tuple, tuple[int, int], tuple[int, int]] | None = None
+
+    def fits(self, number: int, source: int, cluster: int) -> bool:
+        return not (self.clusters[number] & cluster or self.sources[number][-1] & source)
 
     def place(self, size: int, source: int, cluster: int, capacity: int) -> int:
         """Put a piece into the tightest compatible bin and return its number; ``source`` and ``cluster`` are bits."""
         same = (size, source, cluster)
-        start = (size, -1)
+        start, filled = (size, -1), None
         if self.last and self.last[0] == same:
-            start = max(start, self.last[1])
-        at = bisect.bisect_left(self.order, start)
-        while at < len(self.order):
-            residual, number = self.order[at]
-            if not (self.clusters[number] & cluster or self.sources[number][-1] & source):
-                break
-            at += 1
+            start, filled = max(start, self.last[1]), self.last[2]
+        if filled and filled[0] >= size and self.fits(filled[1], source, cluster):
+            at, ended = bisect.bisect_left(self.order, filled), start
+        else:
+            at = bisect.bisect_left(self.order, start)
+            while at < len(self.order) and not self.fits(self.order[at][1], source, cluster):
+                at += 1
+            ended = self.order[at] if at < len(self.order) else (capacity, len(self.clusters))
         if at < len(self.order):
             residual, number = self.order.pop(at)
         else:
             residual, number = capacity, len(self.clusters)
             self.clusters.append(0)
             self.sources.append([0] * self.per_source)
-        self.last = (same, (residual, number))
-        bisect.insort(self.order, (residual - size, number))
+        left = (residual - size, number)
+        self.last = (same, ended, left)
+        bisect.insort(self.order, left)
         self.clusters[number] |= cluster
         carry = source
         levels = self.sources[number]

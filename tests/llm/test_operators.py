@@ -236,6 +236,23 @@ def test_packing_takes_the_tightest_compatible_bin():
         bins[number].append((n, s, c))
 
 
+def test_equal_pieces_of_unique_clusters_share_bins():
+    assert len(set(packing.pack([10] * 100, ["s"] * 100, list(range(100)), 64, 4))) == 25
+    rng = random.Random(6)
+    for sources, clusters, per_source in (("s", 10**9, 4), ("s", 10**9, 2), ("st", 10**9, 3), ("st", 150, 3)):
+        pieces = sorted(((rng.randrange(5, 20), rng.choice(sources), rng.randrange(clusters)) for _ in range(300)),
+                        key=lambda p: (-p[0], p[1]))
+        got = packing.pack([p[0] for p in pieces], [p[1] for p in pieces], [p[2] for p in pieces], 64, per_source)
+        bins = []
+        for (n, s, c), number in zip(pieces, got, strict=True):
+            fits = [(64 - sum(x[0] for x in b), i) for i, b in enumerate(bins)
+                    if sum(x[0] for x in b) + n <= 64 and all(x[2] != c for x in b) and sum(x[1] == s for x in b) < per_source]
+            assert number == (min(fits)[1] if fits else len(bins))
+            if number == len(bins):
+                bins.append([])
+            bins[number].append((n, s, c))
+
+
 def test_quality_scores_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     d, marks = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
