@@ -1,15 +1,21 @@
 """Documents scored by the cross-entropy difference of a target and a background language model.
 
-Both are bigram models over one vocabulary: the hash slots of the lower-cased
-words.  Counts cover every word of every document; the background is the whole
-corpus, the target its marked part.  A bigram's probability is its count,
-smoothed towards the unigram with ``PRIOR`` pseudo-counts, the unigram by one
-count per slot; both models use the same slots and smoothing.  A document's
+Both are bigram models over the lower-cased words.  Every word and every
+bigram is counted by its own 63-bit hash, without a limit on their number;
+counts cover every word of every document; the background is the whole corpus, the
+target its marked part.  A bigram's probability is its count, smoothed towards the
+unigram with ``PRIOR`` pseudo-counts, the unigram by one count per distinct word of
+the corpus; both models use the same words and smoothing.  A document's
 score is the mean over its words of (target loss - background loss): the less,
 the more it resembles the target.
 
-The number of slots grows with the corpus up to ``2 ** MAX_BITS``; the model that
-is broadcast has two counts per slot, 32 MB at most.
+Words and bigrams are counted per task, then over the corpus.  Those with many
+occurrences are broadcast with their counts; the limit grows with the corpus
+so that they are at most ``HOT`` words and ``HOT`` bigrams.  All others
+go to the group of their rare word, or of their bigram if the word is hot, once per
+document.  A group has all occurrences, and therefore the counts, and fewer rows than the
+limit.  The loss is split for this into the part of the bigram and its word, and the
+part of the context, which is settled where the context's word is.
 
 Defined results: a null or empty text has no words and null losses and score;
 repeated rows count and are scored one by one; without target rows the target
@@ -22,7 +28,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,113 +35,223 @@ from pyspark.sql import functions as F
 from . import arrays as ar
 from .stages import written
 
-MIN_BITS, MAX_BITS = 14, 20
-WORDS_PER_SLOT = 32
+HOT = 1 << 19
+LEAST = 16
 PRIOR = 8.0
-BLOCK = 1 << 12
+CHUNK = 1 << 20
+#: The hash of a bigram has this bit, that of a word has not.
+PAIR = np.uint64(1 << 63)
+#: In the place of a bigram: the first word of a text, and a word that is the last and so no context.
+OPENING, LAST = np.uint64(0), np.uint64(1)
 
+POSTING = "key long, other long, row long, n long, head struct<doc_id: bigint, target: double, background: double>"
+HEAD = pa.struct([("doc_id", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
+LOSS = "row long, doc_id long, n_words long, target double, background double"
 
-def slots(texts: list[bytes], bits: int) -> tuple[ar.Words, np.ndarray, np.ndarray]:
-    """Words, and for each the slots of the word and of the word with the one before it (0 before the first)."""
+
+def grams(texts: list[bytes]) -> tuple[ar.Words, np.ndarray, np.ndarray]:
+    """Words, and for each the hash of the word and of the bigram that it ends (``OPENING`` at the first)."""
     words = ar.Words(texts, lower=True)
-    hashes = words.hashes()
-    before = np.concatenate((np.zeros(1, np.uint64), hashes))[: len(hashes)]
-    before[words.first[:-1][words.counts > 0]] = 0
-    one = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-    two = (ar.mix(before * ar.BASE + hashes) >> np.uint64(64 - bits)).astype(np.int64)
+    one = words.hashes() >> np.uint64(1)
+    before = np.concatenate((np.zeros(1, np.uint64), one))[: len(one)]
+    two = ar.mix(before * ar.BASE + one) | PAIR
+    two[words.first[:-1][words.counts > 0]] = OPENING
     return words, one, two
 
 
-def count_slots(docs: DataFrame, bits: int) -> DataFrame:
-    """slot, target, background: slots below ``2 ** bits`` are words, the others bigrams."""
-    size = 1 << bits
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """gram, target, background: occurrences of every word and bigram."""
+
+    def combined(keys: list[np.ndarray], marks: list[np.ndarray]) -> pa.RecordBatch:
+        key, mark = np.concatenate(keys), np.concatenate(marks)
+        order = np.argsort(key)
+        key, mark = key[order], mark[order]
+        at = run_starts(key)
+        return pa.RecordBatch.from_arrays(
+            [ar.signed(key[at]), pa.array(np.add.reduceat(mark.astype(np.int64), at)), pa.array(np.diff(at, append=len(key)))],
+            names=["gram", "target", "background"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, 2 * size), np.int64)
+        keys, marks, held = [], [], 0
         for batch in batches:
             texts = ar.text_bytes(batch.column("text"))
-            target = np.array([bool(x) for x in batch.column("target").to_pylist()])
+            target = np.array(batch.column("target").to_pylist(), bool)
             for low, high in ar.blocks(texts):
-                words, one, two = slots(texts[low:high], bits)
-                marked = target[low:high][words.owner()]
-                for k, chosen in ((0, marked), (1, slice(None))):
-                    totals[k, :size] += np.bincount(one[chosen], minlength=size)
-                    totals[k, size:] += np.bincount(two[chosen], minlength=size)
-        used = np.flatnonzero(totals[1])
-        for part in np.array_split(used, max(1, len(used) >> 16)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part), pa.array(totals[0, part]), pa.array(totals[1, part])],
-                names=["slot", "target", "background"])
+                words, one, two = grams(texts[low:high])
+                marked, inside = target[low:high][words.owner()], two != OPENING
+                keys += [one, two[inside]]
+                marks += [marked, marked[inside]]
+                held += 2 * len(one)
+                if held >= CHUNK:
+                    yield combined(keys, marks)
+                    keys, marks, held = [], [], 0
+        if held:
+            yield combined(keys, marks)
 
     return (
-        docs.select("text", "target").mapInArrow(count, "slot long, target long, background long")
-        .groupBy("slot").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+        docs.select("text", "target").mapInArrow(count, "gram long, target long, background long")
+        .groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     )
 
 
-def packed(counts: DataFrame) -> DataFrame:
-    """The counts in blocks of slots, as bytes."""
+class Model:
+    """The hot grams with their counts, and the smoothing."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, totals: tuple[float, float], n_distinct: int):
+        order = np.argsort(keys)
+        self.keys, self.counts, self.totals, self.n_distinct = keys[order], counts[:, order], totals, n_distinct
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        block = int(rows["slot"].iloc[0]) // BLOCK
-        out = np.zeros((2, BLOCK), np.int64)
-        at = rows["slot"].to_numpy() % BLOCK
-        out[0, at], out[1, at] = rows["target"], rows["background"]
-        return pd.DataFrame({"block": [block], "counts": [out.tobytes()]})
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each gram is hot, and its two counts (0 if not)."""
+        if not len(self.keys):
+            return np.zeros(len(grams), bool), np.zeros((2, len(grams)))
+        at = np.minimum(np.searchsorted(self.keys, grams), len(self.keys) - 1)
+        hot = self.keys[at] == grams
+        return hot, self.counts[:, at] * hot
 
-    return counts.groupBy(F.floor(F.col("slot") / BLOCK)).applyInPandas(pack, "block long, counts binary")
+    def step(self, k: int, pair: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The part of the loss that the bigram and its word have."""
+        return -np.log(pair + PRIOR * (word + 1.0) / (self.totals[k] + self.n_distinct))
 
 
-def losses(docs: DataFrame, counts: DataFrame, bits: int) -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss (nats a word), score."""
-    size = 1 << bits
-    model = np.zeros((2, 2 * size))
-    for row in packed(counts).toLocalIterator():  # bounded by the number of slots
-        at = row["block"] * BLOCK
-        model[:, at:at + BLOCK] = np.frombuffer(row["counts"], np.int64).reshape(2, BLOCK)
-    shared = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
+def postings(docs: DataFrame, shared) -> DataFrame:
+    """The rare grams of every row, and a head with the losses of its hot ones.
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        total = table[:, :size].sum(axis=1, dtype=np.float64)
+    ``n`` is twice the number of occurrences, and one more in the target; in a head the number of words.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             texts = ar.text_bytes(batch.column("text"))
-            found, n_words = [], []
+            rows = batch.column("row").to_numpy(zero_copy_only=False).astype(np.int64)
+            target = np.array(batch.column("target").to_pylist(), np.int64)
             for low, high in ar.blocks(texts):
-                words, one, two = slots(texts[low:high], bits)
-                context = np.concatenate((np.zeros(1, np.int64), one))[: len(one)]
-                opening = words.first[:-1][words.counts > 0]
-                per_text = np.zeros((2, high - low))
+                words, one, two = grams(texts[low:high])
+                order = np.lexsort((two, words.owner()))
+                at = run_starts(words.owner()[order], two[order])
+                times = np.diff(at, append=len(order))
+                picked = order[at]
+                owner, word, pair = words.owner()[picked], one[picked], two[picked]
+                hot_word, word_counts = model.find(word)
+                hot_pair, pair_counts = model.find(pair)
+                here = hot_word & (hot_pair | (pair == OPENING))
+                last = words.first[1:][words.counts > 0] - 1
+                hot_last, last_counts = model.find(one[last])
+                last_owner = words.owner()[last]
+                sums = np.zeros((2, high - low))
                 for k in range(2):
-                    unigram = (table[k, one] + 1.0) / (total[k] + size)
-                    before = table[k, context].astype(np.float64)
-                    before[opening] = high - low
-                    # a slot may hold more bigrams than its context has words
-                    pair = np.minimum(table[k, size + two], before)
-                    pair[opening] = 0
-                    before[opening] = 0
-                    loss = -np.log((pair + PRIOR * unigram) / (before + PRIOR))
-                    sums = np.concatenate(([0.0], np.cumsum(loss)))
-                    per_text[k] = sums[words.first[1:]] - sums[words.first[:-1]]
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    found.append(per_text / words.counts)
-                n_words.append(words.counts)
-            n = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
-            mean = np.concatenate(found, axis=1) if found else np.zeros((2, 0))
-            empty = n == 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(mean[0], mask=empty),
-                 pa.array(mean[1], mask=empty), pa.array(mean[0] - mean[1], mask=empty)],
-                names=["doc_id", "n_words", "target_loss", "background_loss", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(
-        score, "doc_id bigint, n_words bigint, target_loss double, background_loss double, score double")
-
-
-def cross_entropy_difference(docs: DataFrame, target: Column) -> DataFrame:
-    """Losses of every document of ``docs`` (doc_id, text); ``target`` marks the rows of the target model."""
-    marked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                         F.coalesce(target, F.lit(False)).alias("target"))
-    size = docs.select(F.sum(F.length("text").cast("double"))).first()[0] or 1.0
-    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(size / 6 / WORDS_PER_SLOT + 1))))
-    return losses(marked, written(count_slots(marked, bits), "counts"), bits)
+                    loss = np.where(here, model.step(k, pair_counts[k], word_counts[k]), 0) + np.where(
+                        hot_word, np.log(word_counts[k] + PRIOR), 0)
+                    sums[k] = np.bincount(owner, loss * times, minlength=high - low)
+                    # the last word is no context; the first has none
+                    sums[k, last_owner] += math.log(PRIOR) - np.where(hot_last, np.log(last_counts[k] + PRIOR), 0)
+                out, end = ~here, ~hot_last
+                key = np.concatenate((np.where(hot_word, pair, word)[out], one[last][end], ar.mix(rows[low:high].astype(np.uint64))))
+                other = np.concatenate((np.where(hot_word, word, pair)[out], np.full(end.sum(), LAST), np.zeros(high - low, np.uint64)))
+                of = np.concatenate((owner[out], last_owner[end], np.arange(high - low)))
+                n = np.concatenate((2 * times[out] + target[low:high][owner[out]], 2 + target[low:high][last_owner[end]], words.counts))
+                n_rows = len(key) - (high - low)
+                head = pa.StructArray.from_arrays(
+                    [batch.column("doc_id").slice(low, high - low), pa.array(sums[0]), pa.array(sums[1])], fields=list(HEAD))
+                heads = pa.concat_arrays([pa.nulls(n_rows, HEAD), head])
+                yield pa.RecordBatch.from_arrays(
+                    [ar.signed(key), ar.signed(other), pa.array(rows[low:high][of]), pa.array(n.astype(np.int64)), heads],
+                    names=["key", "other", "row", "n", "head"])
+
+    return docs.select("row", "doc_id", "text", "target").mapInArrow(emit, POSTING)
+
+
+def settled(rows: DataFrame, shared) -> DataFrame:
+    """Losses of the postings, added up per row as far as a batch reaches, and the heads; ``rows`` come by key and other."""
+
+    def add_up(model: Model, key: np.ndarray, other: np.ndarray, row: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        is_pair, last = key >= PAIR, other == LAST
+        times = np.where(last, 0, n >> 1)
+        groups, runs = run_starts(key), run_starts(key, other)
+        group = np.repeat(np.arange(len(groups)), np.diff(groups, append=len(key)))
+        run = np.repeat(np.arange(len(runs)), np.diff(runs, append=len(key)))
+        of_word = np.zeros((2, len(key)))
+        of_word[:, is_pair] = model.find(other[is_pair])[1]
+        sums = []
+        order = np.argsort(row, kind="stable")
+        at = run_starts(row[order])
+        for k, counted in enumerate((times * (n & 1), times)):
+            pair = np.where(other == OPENING, 0, np.add.reduceat(counted, runs)[run])
+            word = np.where(is_pair, of_word[k], np.add.reduceat(counted, groups)[group])
+            context = np.where(is_pair, 0, np.log(word + PRIOR))
+            with np.errstate(divide="ignore"):
+                loss = np.where(last, -context, times * (model.step(k, pair, word) + context))
+            sums.append(np.add.reduceat(loss[order], at))
+        size = len(at)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row[order][at]), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.array(sums[0]), pa.array(sums[1])],
+            names=["row", "doc_id", "n_words", "target", "background"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        kept: list[list[np.ndarray]] = []
+        size = 0
+
+        def ready(whole: bool) -> Iterator[pa.RecordBatch]:
+            """All groups that are complete; the last one may go on in the next batch."""
+            nonlocal kept, size
+            columns = [np.concatenate(c) for c in zip(*kept, strict=True)]
+            cut = size if whole else int(run_starts(columns[0])[-1])
+            kept, size = [[c[cut:] for c in columns]], size - cut
+            if cut:
+                yield add_up(model, *(c[:cut] for c in columns))
+
+        for batch in batches:
+            is_head = batch.column("head").is_valid()
+            if is_head.true_count:
+                heads = batch.filter(is_head)
+                doc_id, target, background = heads.column("head").flatten()
+                yield pa.RecordBatch.from_arrays(
+                    [heads.column("row"), doc_id, heads.column("n"), target, background],
+                    names=["row", "doc_id", "n_words", "target", "background"])
+                batch = batch.filter(batch.column("head").is_null())
+            if len(batch):
+                key, other, row, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "other", "row", "n"))
+                kept.append([key.view(np.uint64), other.view(np.uint64), row, n])
+                size += len(batch)
+                if size >= CHUNK:
+                    yield from ready(False)
+        if size:
+            yield from ready(True)
+
+    return rows.mapInArrow(settle, LOSS)
+
+
+def cross_entropy_difference(docs: DataFrame, target: Column, hot: int = HOT, least: int = LEAST) -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss (nats a word), score of every document of ``docs`` (doc_id, text).
+
+    ``target`` marks the rows of the target model.
+    """
+    context = docs.sparkSession.sparkContext
+    marked = written(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text",
+        F.coalesce(target, F.lit(False)).alias("target")), "marked")
+    counts = written(gram_counts(marked), "grams")
+    total = counts.where("gram >= 0").agg(F.sum("target"), F.sum("background"), F.count("*")).first()
+    limit = max(least, math.ceil((total[1] or 0) / hot))
+    # at most ``hot`` words and ``hot`` bigrams, as each stands at least ``limit`` times in the corpus
+    found = counts.where(F.col("background") >= limit).toArrow()
+    gram, *times = (found.column(c).to_numpy() for c in ("gram", "target", "background"))
+    model = Model(gram.astype(np.int64).view(np.uint64), np.array(times, np.float64), (float(total[0] or 0), float(total[1] or 0)), total[2])
+    shared = context.broadcast(model)
+    dealt = postings(marked, shared).repartition("key").sortWithinPartitions("key", "other")
+    sums = settled(dealt, shared).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("target").alias("target"),
+        F.sum("background").alias("background"))
+    mean = [F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")) for c in ("target", "background")]
+    return sums.select("doc_id", "n_words", mean[0].alias("target_loss"), mean[1].alias("background_loss"),
+                       (mean[0] - mean[1]).alias("score"))

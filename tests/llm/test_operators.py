@@ -1,6 +1,7 @@
 """The training-data operators against brute force, and on null, empty, long, repeated and clashing rows."""
 
 import hashlib
+import math
 import os
 import random
 import sys
@@ -272,6 +273,32 @@ def test_losses_of_small_models(spark):
     assert [got[i].n_words for i in (1, 2, 3)] == [6, 6, 2]
 
 
+@pytest.mark.parametrize("hot,least", [(lm_scoring.HOT, lm_scoring.LEAST), (1 << 40, 1 << 40), (1 << 40, 1)])
+def test_losses_as_by_exact_counts(spark, docs, rows, hot, least):
+    words = {d: t.encode().lower().split() for d, t in rows.items()}
+    word, pair = [Counter(), Counter()], [Counter(), Counter()]
+    for d, w in words.items():
+        for k in (0, 1) if d % 3 == 0 else (1,):
+            word[k].update(w)
+            pair[k].update(zip(w, w[1:]))
+
+    def loss(k, w):
+        total, out = sum(word[k].values()), 0.0
+        for i, x in enumerate(w):
+            p = lm_scoring.PRIOR * (word[k][x] + 1) / (total + len(word[1]))
+            out -= math.log((p + (pair[k][w[i - 1], x] if i else 0)) / (lm_scoring.PRIOR + (word[k][w[i - 1]] if i else 0)))
+        return out / len(w)
+
+    got = lm_scoring.cross_entropy_difference(docs, F.col("doc_id") % 3 == 0, hot, least).collect()
+    assert sorted(r.doc_id for r in got) == sorted(words)
+    for r in got:
+        w = words[r.doc_id]
+        assert r.n_words == len(w)
+        if w:
+            assert r.target_loss == pytest.approx(loss(0, w), rel=1e-9)
+            assert r.background_loss == pytest.approx(loss(1, w), rel=1e-9)
+
+
 def test_pipeline_decisions_take_effect(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert 0 < out.select("doc_id").distinct().count() < 200
