@@ -6,10 +6,14 @@ lower-cased and freed of surrounding marks.  Windows of ``WINDOW`` template
 words (a shorter item is one window) are hashed and joined.  A window counts
 if at least half of it is plain words.
 
-For a document and an item, the slots of the joined windows must be
+For an occurrence of an item in a document, the slots of the joined windows must be
 consistent: one value of the item always stands for one value of the document and the
 other way round.  Windows with a slot outside its most frequent partner are left out, and a
-document is contaminated if the rest cover ``COVERAGE`` of the item's words.
+document is contaminated if the rest of any occurrence cover ``COVERAGE`` of the item's
+words.  An occurrence is what stands at one distance from the item's places, or,
+as other values may have more or fewer words, at distances in a band as wide as
+the item is long (bands overlap by half).  An item in scattered parts has the
+whole document as its occurrence.
 
 The benchmark's window hashes set bits in a bitmap of fixed size (``FILTER_BITS``),
 the only thing sent to every task; documents emit the windows that hit it, and
@@ -138,23 +142,30 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "item_id") -> Data
     held = items.select(F.col("key").alias("item_id"), F.col("place").alias("item_place"), "size", "hash", "n",
                         F.col("slots").alias("item_slots"))
     joined = written(
-        emitted.select(F.col("key").alias("doc_id"), "hash", "n", F.col("slots").alias("doc_slots")).distinct()
+        emitted.select(F.col("key").alias("doc_id"), F.col("place").alias("doc_place"), "hash", "n",
+                       F.col("slots").alias("doc_slots")).distinct()
         .join(held, ["hash", "n"])
-        .select("doc_id", "item_id", "item_place", "n", "size", F.filter(
+        .select("doc_id", "item_id", "doc_place", "item_place", "n", "size", F.filter(
             F.arrays_zip("item_slots", "doc_slots"), lambda p: p["item_slots"] != "").alias("pairs")), "window_matches")
+    away, size = F.col("doc_place") - F.col("item_place"), F.col("size")
+    occurrences = [away, F.floor(away / size), F.floor((away + size / 2) / size), F.lit(0)]
+    placed = joined.select("doc_id", "item_id", "item_place", "n", "size", "pairs", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), at.cast("bigint").alias("at")) for kind, at in enumerate(occurrences)])).alias("occurrence"))
+    key = ["doc_id", "item_id", "occurrence"]
     # the partner of each value: the most frequent one, both ways
-    slots = joined.select("doc_id", "item_id", F.explode("pairs").alias("p")).groupBy(
-        "doc_id", "item_id", F.col("p.item_slots").alias("x"), F.col("p.doc_slots").alias("y")).agg(F.count("*").alias("c"))
-    forward = slots.groupBy("doc_id", "item_id", "x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
-    backward = slots.groupBy("doc_id", "item_id", "y").agg(F.max_by("x", F.struct("c", "x")).alias("x"))
-    agreed = forward.join(backward, ["doc_id", "item_id", "x", "y"]).groupBy("doc_id", "item_id").agg(
+    slots = placed.select(*key, F.explode("pairs").alias("p")).groupBy(
+        *key, F.col("p.item_slots").alias("x"), F.col("p.doc_slots").alias("y")).agg(F.count("*").alias("c"))
+    forward = slots.groupBy(*key, "x").agg(F.max_by("y", F.struct("c", "y")).alias("y"))
+    backward = slots.groupBy(*key, "y").agg(F.max_by("x", F.struct("c", "x")).alias("x"))
+    agreed = forward.join(backward, [*key, "x", "y"]).groupBy(*key).agg(
         F.map_from_entries(F.collect_list(F.struct("x", "y"))).alias("partner"))
-    consistent = joined.join(agreed, ["doc_id", "item_id"], "left").where(F.forall(
+    consistent = placed.join(agreed, key, "left").where(F.forall(
         "pairs", lambda p: F.coalesce(F.element_at("partner", p["item_slots"]) == p["doc_slots"], F.lit(False))))
     covered = (
-        consistent.groupBy("doc_id", "item_id")
+        consistent.groupBy(*key)
         .agg(F.max("size").alias("n_words"), F.size(F.array_distinct(F.flatten(F.collect_set(
             F.sequence("item_place", F.col("item_place") + F.col("n") - 1))))).alias("covered"))
+        .groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.max("covered").alias("covered"))
     )
     return covered.withColumn("coverage", F.col("covered") / F.col("n_words")).where(F.col("coverage") >= COVERAGE)
 

@@ -201,6 +201,21 @@ def test_reworded_questions_are_found(spark):
     assert got[1] == [7] and got[3] == [7] and got[2] == []
 
 
+def test_a_copy_is_found_beside_variants_of_it(spark):
+    item = "add 91 eggs and 11 nuts then 81 figs or 21 pears with 71 beans under 31 leaves plus 61 drops over 41 plates"
+
+    def variant(other):
+        return " ".join(dict(zip(("91", "11", "81", "21", "71", "31", "61", "41"), other)).get(w, w) for w in item.split())
+
+    one = variant(("15", "95", "16", "96", "17", "97", "18", "98"))
+    two = variant(("92", "12", "82", "22", "72", "32", "62", "42"))
+    texts = [item, f"{item} {one}", f"{one} {item} {two}", f"{two} filler words {one}", f"{one} {item.replace('71 beans', '71 or more beans')}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    got = {r.doc_id: r.coverage for r in decontamination.matches(df, bench).collect()}
+    assert [got.get(i) for i in range(5)] == [1.0] * 5
+
+
 def test_benchmark_passages_in_documents(spark, docs, rows):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     got = {r.doc_id for r in decontamination.matches(docs, bench).collect()}
