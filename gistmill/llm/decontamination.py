@@ -3,8 +3,10 @@
 Texts are reduced to templates: numbers, units and names inside a sentence
 become typed placeholders whose values are kept as slots; other words are
 lower-cased and freed of surrounding marks.  Windows of ``WINDOW`` template
-words (a shorter item is one window) are hashed and joined.  A window counts
-if at least half of it is plain words.
+words (a shorter item is one window) are hashed and joined.  A window with
+placeholders counts if at least half of it is plain words.  Besides, every window is joined as it
+stands, in lower case and with its values in place of the placeholders: an exact
+copy is found however many names and numbers it has, and in any case.
 
 For an occurrence of an item in a document, the slots of the joined windows must be
 consistent: one value of the item always stands for one value of the document and the
@@ -74,17 +76,18 @@ def template(text: bytes) -> tuple[list[bytes], list[bytes]]:
 
 
 def windows(texts: list[bytes], lengths: list[int], whole: bool) -> tuple[np.ndarray, ...]:
-    """text, place, length, hash of the windows, with the template words and slots of all texts.
+    """text, place, length, hash of the windows, their place in the slots, whether they have slots; and the slots.
 
-    ``whole`` takes one window of each text shorter than ``WINDOW``; otherwise
+    Each window comes as it stands and, if it has placeholders, also as a template.  ``whole`` takes one window of each text shorter than ``WINDOW``; otherwise
     windows of every length of ``lengths`` are taken.
     """
     cut = [template(t) for t in texts]
     words = ar.Words([b"\n".join(w) for w, _ in cut])
     slots = [s for _, row in cut for s in row]
-    values = words.hashes()
     plain = np.array([not s for s in slots], np.int64)
-    sums, plains = ar.prefix_sums(values), np.concatenate(([0], np.cumsum(plain)))
+    sums, plains = ar.prefix_sums(words.hashes()), np.concatenate(([0], np.cumsum(plain)))
+    stands = ar.Words([b"\n".join(s or w for w, s in zip(*row, strict=True)) for row in cut])
+    stand_sums = ar.prefix_sums(stands.hashes())
     out = []
     for n in lengths:
         place = np.concatenate([
@@ -92,10 +95,12 @@ def windows(texts: list[bytes], lengths: list[int], whole: bool) -> tuple[np.nda
             else np.zeros(0, np.int64)
             for first, count in zip(words.first[:-1].tolist(), words.counts.tolist(), strict=True)] or [np.zeros(0, np.int64)])
         place = place.astype(np.int64)
-        place = place[2 * (plains[place + n] - plains[place]) >= n]
-        text = np.searchsorted(words.first, place, side="right") - 1
-        out.append((text, place - words.first[text], np.full(len(place), n), ar.span_hash(sums, place, np.full(len(place), n)),
-                    place))
+        n_plain = plains[place + n] - plains[place]
+        typed = place[(2 * n_plain >= n) & (n_plain < n)]
+        for of, at, slotted in ((stand_sums, place, False), (sums, typed, True)):
+            text = np.searchsorted(words.first, at, side="right") - 1
+            length = np.full(len(at), n)
+            out.append((text, at - words.first[text], length, ar.span_hash(of, at, length), at, np.full(len(at), slotted)))
     return tuple(np.concatenate(column) for column in zip(*out, strict=True)) + (slots,)
 
 
@@ -111,7 +116,7 @@ def _window_rows(rows: DataFrame, key: str, lengths: list[int], whole: bool, bit
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             texts = ar.text_bytes(batch.column("text"))
             for low, high in ar.blocks(texts):
-                text, place, n, hashes, at, slots = windows(texts[low:high], lengths, whole)
+                text, place, n, hashes, at, slotted, slots = windows(texts[low:high], lengths, whole)
                 sizes = np.zeros(high - low, np.int64)
                 if whole:
                     sizes = np.array([len(template(t)[0]) for t in texts[low:high]], np.int64)
@@ -119,8 +124,9 @@ def _window_rows(rows: DataFrame, key: str, lengths: list[int], whole: bool, bit
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[low:high][text[hit]].astype(np.int64)), pa.array(n[hit].astype(np.int32)),
                      pa.array(place[hit].astype(np.int32)), pa.array(sizes[text[hit]].astype(np.int32)), ar.signed(hashes[hit]),
-                     pa.array([[s.decode("utf-8", "replace") for s in slots[i:i + k]]
-                               for i, k in zip(at[hit].tolist(), n[hit].tolist(), strict=True)], pa.list_(pa.string()))],
+                     pa.array([[s.decode("utf-8", "replace") for s in slots[i:i + k]] if own else []
+                               for i, k, own in zip(at[hit].tolist(), n[hit].tolist(), slotted[hit].tolist(), strict=True)],
+                              pa.list_(pa.string()))],
                     names=["key", "n", "place", "size", "hash", "slots"])
 
     picked = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), "text")

@@ -216,6 +216,18 @@ def test_a_copy_is_found_beside_variants_of_it(spark):
     assert [got.get(i) for i in range(5)] == [1.0] * 5
 
 
+def test_exact_copies_full_of_names_and_numbers_and_in_lower_case(spark):
+    bench = {1: "The list is George Washington John Adams Thomas Jefferson James Madison James Monroe Andrew Jackson",
+             2: "Continue the series 1 1 2 3 5 8 13 21 34 55 89 144 233",
+             3: "the road from Paris to Lyon passes Dijon and then Beaune before it reaches Chalon and the river",
+             4: "Berlin lies on the Spree"}
+    texts = [text for item in bench.values() for text in (f"Some words first {item} and some more", f"so {item.lower()} so")]
+    df = spark.createDataFrame([*enumerate(texts), (99, "no list of Other Names or 4 5 6 7 8 numbers")], "doc_id bigint, text string")
+    found = decontamination.contamination_report(df, spark.createDataFrame(list(bench.items()), "item_id bigint, text string")).collect()
+    got = {r.doc_id: r["items"] for r in found}
+    assert got == {**{i: [i // 2 + 1] for i in range(8)}, 99: []}
+
+
 def test_benchmark_passages_in_documents(spark, docs, rows):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     got = {r.doc_id for r in decontamination.matches(docs, bench).collect()}
