@@ -1,8 +1,8 @@
 """License notices found by ordered signature rules.
 
 A text is reduced to its words, lower-cased and joined by one space; every rule
-is a regular expression over that line.  A rule runs only on texts that hold its
-keyword.  Rules are ordered by priority: identifiers and full titles before
+is a regular expression over that line.  A rule runs only on texts that hold one
+of the keywords of its form and one of its family; every match has both.  Rules are ordered by priority: identifiers and full titles before
 grants, grants before mentions.  Detections are taken in that order; one whose
 interval lies within an interval already taken is suppressed.
 
@@ -26,67 +26,68 @@ from . import arrays as ar
 #: Phrases that always count, with their labels.  Fixed values.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: label, keyword that a text must hold, names of the license as it stands between words
+#: label, keywords of which every match holds one, names of the license as it stands between words
 FAMILIES = [
-    ("mit", b"mit", rb"mit(?: x11)?|expat"),
+    ("mit", b"mit|expat", rb"mit(?: x11)?|expat"),
     ("apache-2", b"apache", rb"apache (?:software )?(?:license )?(?:v|version )?2(?: 0)?"),
     ("apache-1.1", b"apache", rb"apache (?:software )?(?:license )?(?:v|version )?1 1"),
     ("apache", b"apache", rb"apache(?: software)?"),
-    ("gpl-2", b"2", rb"(?:gnu )?(?:gpl|general public license) ?(?:v|version )?2(?: 0)?"),
-    ("gpl-3", b"3", rb"(?:gnu )?(?:gpl|general public license) ?(?:v|version )?3(?: 0)?"),
-    ("gpl", b"g", rb"gnu (?:gpl|general public license)|gpl"),
-    ("lgpl-2.1", b"2 1", rb"(?:gnu )?(?:lgpl|lesser general public license) ?(?:v|version )?2 1"),
-    ("lgpl-3", b"3", rb"(?:gnu )?(?:lgpl|lesser general public license) ?(?:v|version )?3(?: 0)?"),
-    ("lgpl", b"l", rb"gnu (?:lgpl|lesser general public license)|lgpl"),
-    ("agpl-3", b"3", rb"(?:gnu )?(?:agpl|affero general public license) ?(?:v|version )?3(?: 0)?"),
-    ("agpl", b"a", rb"gnu (?:agpl|affero general public license)|agpl"),
+    ("gpl-2", b"gpl|general public license", rb"(?:gnu )?(?:gpl|general public license) ?(?:v|version )?2(?: 0)?"),
+    ("gpl-3", b"gpl|general public license", rb"(?:gnu )?(?:gpl|general public license) ?(?:v|version )?3(?: 0)?"),
+    ("gpl", b"gpl|general public license", rb"gnu (?:gpl|general public license)|gpl"),
+    ("lgpl-2.1", b"lgpl|lesser general public license", rb"(?:gnu )?(?:lgpl|lesser general public license) ?(?:v|version )?2 1"),
+    ("lgpl-3", b"lgpl|lesser general public license", rb"(?:gnu )?(?:lgpl|lesser general public license) ?(?:v|version )?3(?: 0)?"),
+    ("lgpl", b"lgpl|lesser general public license", rb"gnu (?:lgpl|lesser general public license)|lgpl"),
+    ("agpl-3", b"agpl|affero general public license", rb"(?:gnu )?(?:agpl|affero general public license) ?(?:v|version )?3(?: 0)?"),
+    ("agpl", b"agpl|affero general public license", rb"gnu (?:agpl|affero general public license)|agpl"),
     ("bsd-2-clause", b"bsd", rb"bsd (?:2|two) clause|2 clause bsd|simplified bsd|freebsd"),
     ("bsd-3-clause", b"bsd", rb"bsd (?:3|three) clause|3 clause bsd|new bsd|revised bsd|modified bsd"),
     ("bsd-4-clause", b"bsd", rb"bsd (?:4|four) clause|4 clause bsd|original bsd"),
     ("bsd", b"bsd", rb"bsd"),
-    ("mpl-1.1", b"1 1", rb"(?:mpl|mozilla public license) ?(?:v|version )?1 1"),
-    ("mpl-2", b"2", rb"(?:mpl|mozilla public license) ?(?:v|version )?2(?: 0)?"),
-    ("mpl", b"m", rb"mozilla public license|mpl"),
-    ("epl-1", b"1", rb"(?:epl|eclipse public license) ?(?:v|version )?1(?: 0)?"),
-    ("epl-2", b"2", rb"(?:epl|eclipse public license) ?(?:v|version )?2(?: 0)?"),
-    ("cddl-1", b"1", rb"(?:cddl|common development and distribution license) ?(?:v|version )?1 [01]"),
-    ("cc-by-nc-nd", b"c", rb"cc by nc nd(?: \d 0)?|attribution non ?commercial no ?deriv\w+"),
-    ("cc-by-nc-sa", b"c", rb"cc by nc sa(?: \d 0)?|attribution non ?commercial share ?alike"),
-    ("cc-by-nc", b"c", rb"cc by nc(?: \d 0)?|attribution non ?commercial"),
-    ("cc-by-nd", b"c", rb"cc by nd(?: \d 0)?|attribution no ?deriv\w+"),
-    ("cc-by-sa", b"c", rb"cc by sa(?: \d 0)?|attribution share ?alike"),
-    ("cc-by", b"c", rb"cc by(?: \d 0)?|creative commons attribution"),
-    ("cc0", b"c", rb"cc0(?: 1 0)?|cc zero"),
+    ("mpl-1.1", b"mpl|mozilla public license", rb"(?:mpl|mozilla public license) ?(?:v|version )?1 1"),
+    ("mpl-2", b"mpl|mozilla public license", rb"(?:mpl|mozilla public license) ?(?:v|version )?2(?: 0)?"),
+    ("mpl", b"mpl|mozilla public license", rb"mozilla public license|mpl"),
+    ("epl-1", b"epl|eclipse public license", rb"(?:epl|eclipse public license) ?(?:v|version )?1(?: 0)?"),
+    ("epl-2", b"epl|eclipse public license", rb"(?:epl|eclipse public license) ?(?:v|version )?2(?: 0)?"),
+    ("cddl-1", b"cddl|common development and distribution license", rb"(?:cddl|common development and distribution license) ?(?:v|version )?1 [01]"),
+    ("cc-by-nc-nd", b"cc by nc nd|attribution non", rb"cc by nc nd(?: \d 0)?|attribution non ?commercial no ?deriv\w+"),
+    ("cc-by-nc-sa", b"cc by nc sa|attribution non", rb"cc by nc sa(?: \d 0)?|attribution non ?commercial share ?alike"),
+    ("cc-by-nc", b"cc by nc|attribution non", rb"cc by nc(?: \d 0)?|attribution non ?commercial"),
+    ("cc-by-nd", b"cc by nd|attribution no", rb"cc by nd(?: \d 0)?|attribution no ?deriv\w+"),
+    ("cc-by-sa", b"cc by sa|attribution share", rb"cc by sa(?: \d 0)?|attribution share ?alike"),
+    ("cc-by", b"cc by|creative commons attribution", rb"cc by(?: \d 0)?|creative commons attribution"),
+    ("cc0", b"cc0|cc zero", rb"cc0(?: 1 0)?|cc zero"),
     ("isc", b"isc", rb"isc"),
     ("zlib", b"zlib", rb"zlib(?: libpng)?"),
-    ("bsl-1", b"b", rb"boost software license(?: (?:v|version )?1 0)?|bsl 1 0"),
+    ("bsl-1", b"boost software license|bsl 1 0", rb"boost software license(?: (?:v|version )?1 0)?|bsl 1 0"),
     ("unlicense", b"unlicense", rb"unlicense"),
-    ("wtfpl", b"w", rb"wtfpl|do what the fuck you want to public license"),
-    ("artistic-2", b"artistic", rb"artistic license ?(?:v|version )?2(?: 0)?"),
+    ("wtfpl", b"wtfpl|do what the fuck you want", rb"wtfpl|do what the fuck you want to public license"),
+    ("artistic-2", b"artistic license", rb"artistic license ?(?:v|version )?2(?: 0)?"),
     ("artistic", b"artistic", rb"artistic"),
-    ("ofl-1.1", b"o", rb"(?:sil )?(?:ofl|open font license) ?(?:v|version )?1 1"),
-    ("psf-2", b"p", rb"psf|python software foundation(?: license)?(?: version 2)?"),
-    ("eupl-1.2", b"eu", rb"eupl(?: (?:v|version )?1 2)?|european union public licen[cs]e"),
-    ("odbl", b"o", rb"odbl|open database license"),
-    ("osl-3", b"o", rb"osl 3 0|open software license ?(?:v|version )?3 0"),
-    ("ms-pl", b"m", rb"ms pl|microsoft public license"),
+    ("ofl-1.1", b"ofl|open font license", rb"(?:sil )?(?:ofl|open font license) ?(?:v|version )?1 1"),
+    ("psf-2", b"psf|python software foundation", rb"psf|python software foundation(?: license)?(?: version 2)?"),
+    ("eupl-1.2", b"eupl|european union public licen", rb"eupl(?: (?:v|version )?1 2)?|european union public licen[cs]e"),
+    ("odbl", b"odbl|open database license", rb"odbl|open database license"),
+    ("osl-3", b"osl 3 0|open software license", rb"osl 3 0|open software license ?(?:v|version )?3 0"),
+    ("ms-pl", b"ms pl|microsoft public license", rb"ms pl|microsoft public license"),
     ("postgresql", b"postgresql", rb"postgresql"),
     ("openssl", b"openssl", rb"openssl"),
-    ("ncsa", b"n", rb"ncsa|university of illinois ncsa open source"),
+    ("ncsa", b"ncsa", rb"ncsa|university of illinois ncsa open source"),
     ("public-domain", b"public domain", rb"public domain"),
     ("proprietary", b"proprietary", rb"proprietary"),
 ]
 
-#: priority (less wins), keyword, expression around NAME, score
+#: priority (less wins), keywords of which every match holds one, expression around NAME, score
 FORMS = [
     (0, b"spdx", rb"spdx licen[cs]e identifier (?:NAME)(?: only| or later)?", 1.0),
-    (1, b"licen", rb"(?:licen[cs]ed|released|distributed|available|provided|published|redistributed) under "
-                 rb"(?:the )?(?:terms (?:and conditions )?of )?(?:the |a )?(?:NAME)(?: licen[cs]e)?(?: only| or later)?", 0.95),
-    (2, b"licen", rb"(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:NAME)(?: licen[cs]e)?", 0.9),
-    (3, b"licen", rb"(?:governed|covered) by (?:the )?(?:NAME)(?: licen[cs]e)?", 0.9),
+    (1, b"licensed under |licenced under |released under |distributed under |available under |provided under |published under ",
+     rb"(?:licen[cs]ed|released|distributed|available|provided|published|redistributed) under "
+     rb"(?:the )?(?:terms (?:and conditions )?of )?(?:the |a )?(?:NAME)(?: licen[cs]e)?(?: only| or later)?", 0.95),
+    (2, b"subject to |according to ", rb"(?:subject|according) to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:NAME)(?: licen[cs]e)?", 0.9),
+    (3, b"governed by |covered by ", rb"(?:governed|covered) by (?:the )?(?:NAME)(?: licen[cs]e)?", 0.9),
     (4, b"licen", rb"(?:the )?(?:NAME) licen[cs]e(?: agreement)?(?: (?:v|version )?\d(?: \d)?)?", 0.8),
     (5, b"licen", rb"licen[cs]e (?:is |type |name )?(?:NAME)", 0.7),
-    (6, b"cc", rb"(?<= )(?:NAME)(?= (?:international|unported|generic))", 0.7),
+    (6, b" international | unported | generic ", rb"(?<= )(?:NAME)(?= (?:international|unported|generic))", 0.7),
 ]
 
 
@@ -94,7 +95,7 @@ FORMS = [
 class Rule:
     priority: tuple[int, int]
     label: str
-    keywords: tuple[bytes, ...]
+    keywords: tuple[tuple[bytes, ...], ...]
     pattern: re.Pattern[bytes]
     score: float
 
@@ -105,7 +106,8 @@ def rules() -> list[Rule]:
     for priority, keyword, form, score in FORMS:
         for order, (label, name_keyword, name) in enumerate(FAMILIES):
             pattern = re.compile(rb"(?<= )" + form.replace(b"NAME", name) + rb"(?= )")
-            out.append(Rule((priority, order), label, (keyword, name_keyword), pattern, score))
+            keywords = tuple(keyword.split(b"|")), tuple(name_keyword.split(b"|"))
+            out.append(Rule((priority, order), label, keywords, pattern, score))
     return out
 
 
@@ -129,13 +131,15 @@ def places(line: bytes, phrase: str) -> list[int]:
 
 def detect(line: bytes, ordered: list[Rule]) -> list[tuple[int, int, str, float]]:
     """start, end, label, score of the detections that are not suppressed."""
-    keywords: dict[bytes, bool] = {}
+    keywords: dict[tuple[bytes, ...], bool] = {}
     found = []
     for rule in ordered:
         for k in rule.keywords:
             if k not in keywords:
-                keywords[k] = k in line
-        if all(keywords[k] for k in rule.keywords):
+                keywords[k] = any(x in line for x in k)
+            if not keywords[k]:
+                break
+        else:
             found += [(rule.priority, m.start(), m.end(), rule) for m in rule.pattern.finditer(line)]
     taken: list[tuple[int, int, str, float]] = []
     for _, start, end, rule in sorted(found, key=lambda d: (d[0], d[1], -d[2])):
@@ -157,6 +161,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordered = rules()
+        forms = sorted({k for rule in ordered for k in rule.keywords[0]})
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), ar.text_bytes(batch.column("text")), strict=True):
@@ -164,7 +169,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 base = {phrase: places(line, phrase) for phrase in BASE}
                 starts = sorted(s for found in base.values() for s in found)
                 base_labels = sorted({BASE[p] for p, found in base.items() if found})
-                spans = detect(line, ordered) if b"licen" in line or b" cc" in line or b"spdx" in line else []
+                spans = detect(line, ordered) if any(k in line for k in forms) else []
                 labels = sorted({*base_labels, *(label for _, _, label, _ in spans)})
                 rows.append({
                     "doc_id": doc_id, "n_words": n, "n_base": len(starts),

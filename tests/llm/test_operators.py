@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import random
+import re
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -190,6 +191,27 @@ def test_contained_detections_are_suppressed():
     assert [d[2] for d in license_scan.detect(line, license_scan.rules())] == ["gpl-2"]
 
 
+def test_keywords_drop_no_match(spark):
+    texts = {"This code is released under the GPL v3 or later": "gpl-3", "distributed under the terms of the MPL 2.0": "mpl-2",
+             "governed by the AGPL v3": "agpl-3", "subject to the terms of the BSD": "bsd", "the Expat license": "mit",
+             "Creative Commons Attribution International": "cc-by", "redistributed under CDDL 1.0": "cddl-1"}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan(df).collect()}
+    assert got == dict(enumerate(texts.values()))
+    verbs = ["released under the terms of the", "licenced under a", "subject to", "covered by the", "license type", "spdx license identifier", ""]
+    ordered = license_scan.rules()
+    for label, _, names in license_scan.FAMILIES:
+        name = re.sub(r"\(\?:[^()]*(?:\(\?:[^()]*\)\?)*\)\?", "", names.decode())  # the optional parts left out
+        name = re.sub(r"\(\?:([^()]*)\)", r"\1", name) if "|" not in name.split(")")[-1] else name
+        for way in re.sub(r"[()?:]", "", name).replace("\\d", "4").replace("\\w+", "s").replace("[cs]", "s").replace("[01]", "1").split("|"):
+            for verb in verbs:
+                for end in ("", "license", "international", "generic"):
+                    line, _ = license_scan.word_line(f"x {verb} {way} {end} y".encode())
+                    for rule in ordered:
+                        if rule.pattern.search(line):
+                            assert all(any(k in line for k in group) for group in rule.keywords), (rule, line)
+
+
 def test_reworded_questions_are_found(spark):
     item = "A train leaves Paris at 9 and drives 300 km to reach Lyon while another train leaves Paris at 11 today"
     same = item.replace("Paris", "Rome").replace("300", "450").replace("Lyon", "Milan")
