@@ -87,4 +87,38 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
 FROM cut LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
 """
 
-ORACLES = {"op4_quality_rules": OP4, "op7_substring_dedup": OP7, "op10_near_duplicates": OP10}
+OP13 = r"""
+WITH sized AS (
+  SELECT doc_id, source, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 16) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, ((rank - 1) % 3 + 1)::DOUBLE AS weight, (sum(source_size) OVER ())::BIGINT AS budget FROM sources
+), levels AS (
+  SELECT *, (budget - coalesce((SELECT sum(3 * b.source_size) FROM weighed b
+      WHERE (3 * b.source_size / b.weight, b.rank) < (3 * a.source_size / a.weight, a.rank)), 0))::DOUBLE
+    / (SELECT sum(b.weight) FROM weighed b
+      WHERE (3 * b.source_size / b.weight, b.rank) >= (3 * a.source_size / a.weight, a.rank)) AS level FROM weighed a
+), targets AS (
+  SELECT *, least((3 * source_size)::DOUBLE, max(level) OVER () * weight) AS target FROM levels
+), queued AS (
+  SELECT s.*, source_size, target, rank, budget, row_number() OVER () AS r,
+    (sum(size) OVER (PARTITION BY rank ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), copies AS (
+  SELECT *, epoch * source_size + before AS start FROM queued, range(3) AS e(epoch) WHERE size > 0 AND epoch * source_size + before < target
+), cut AS (
+  SELECT *, least(size, ceil(target)::BIGINT - start) AS words, least(1.0, (start + size) / target) AS finish FROM copies
+), placed AS (
+  SELECT *, sum(words) OVER (ORDER BY finish, rank, epoch, key, doc_id ROWS UNBOUNDED PRECEDING) - words AS mix_at FROM cut
+), taken AS (
+  SELECT r, sum(least(words, budget - mix_at))::BIGINT AS taken FROM placed WHERE mix_at < budget GROUP BY r
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM queued LEFT JOIN taken USING (r)
+"""
+
+ORACLES = {
+    "op4_quality_rules": OP4, "op7_substring_dedup": OP7, "op10_near_duplicates": OP10, "op13_mixing": OP13,
+}

@@ -9,6 +9,7 @@ from . import (
     decontamination,
     license_scan,
     lm_scoring,
+    mixing,
     near_duplicates,
     packing,
     quality_classifier,
@@ -82,7 +83,12 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.duplicate_groups(_table(spark, folder, "documents"), similarity=0.85)
 
 
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix of all sources takes of every document."""
+    return mixing.mix_report(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_lm_scoring, op3_license_scan, op4_quality_rules, op5_quality_classifier, op6_best_fit_packing,
-    op7_substring_dedup, op8_suffix_array_dedup, op9_decontamination, op10_near_duplicates,
+    op7_substring_dedup, op8_suffix_array_dedup, op9_decontamination, op10_near_duplicates, op13_mixing,
 )}

@@ -1,8 +1,9 @@
-"""Intermediate tables in the folder the cluster names in ``spark.checkpoint.dir``."""
+"""Intermediate tables in the folder the cluster names in ``spark.checkpoint.dir``, and names for added columns."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 
@@ -15,3 +16,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, taken: Collection[str]) -> str:
+    """``name``, with underscores behind it until no column of ``taken`` is called so (in any case)."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
