@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation_repair,
     decontamination,
     license_scan,
     lm_scoring,
@@ -83,6 +84,12 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.duplicate_groups(_table(spark, folder, "documents"), similarity=0.85)
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and repaired digest of every conversation after planted damage."""
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair_report(turns, conversation_repair.damaged(turns))
+
+
 def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix of all sources takes of every document."""
     return mixing.mix_report(_table(spark, folder, "documents"))
@@ -90,5 +97,6 @@ def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_lm_scoring, op3_license_scan, op4_quality_rules, op5_quality_classifier, op6_best_fit_packing,
-    op7_substring_dedup, op8_suffix_array_dedup, op9_decontamination, op10_near_duplicates, op13_mixing,
+    op7_substring_dedup, op8_suffix_array_dedup, op9_decontamination, op10_near_duplicates,
+    op12_conversation_repair, op13_mixing,
 )}
