@@ -129,7 +129,7 @@ def postings(docs: DataFrame, shared) -> DataFrame:
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             texts = ar.text_bytes(batch.column("text"))
             rows = batch.column("row").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -197,7 +197,7 @@ def settled(rows: DataFrame, shared) -> DataFrame:
             names=["row", "doc_id", "n_words", "target", "background"])
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         kept: list[list[np.ndarray]] = []
         size = 0
 
@@ -246,8 +246,9 @@ def cross_entropy_difference(docs: DataFrame, target: Column, hot: int = HOT, le
     # at most ``hot`` words and ``hot`` bigrams, as each stands at least ``limit`` times in the corpus
     found = counts.where(F.col("background") >= limit).toArrow()
     gram, *times = (found.column(c).to_numpy() for c in ("gram", "target", "background"))
-    model = Model(gram.astype(np.int64).view(np.uint64), np.array(times, np.float64), (float(total[0] or 0), float(total[1] or 0)), total[2])
-    shared = context.broadcast(model)
+    # plain arrays: a broadcast is pickled by reference, and workers may not have this package
+    shared = context.broadcast(
+        (gram.astype(np.int64).view(np.uint64), np.array(times, np.float64), (float(total[0] or 0), float(total[1] or 0)), total[2]))
     dealt = postings(marked, shared).repartition("key").sortWithinPartitions("key", "other")
     sums = settled(dealt, shared).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.sum("target").alias("target"),

@@ -13,6 +13,7 @@ from . import (
     mixing,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     substring,
@@ -84,6 +85,11 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.duplicate_groups(_table(spark, folder, "documents"), similarity=0.85)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which get a periodic tail."""
+    return periodic_runs.run_report(_table(spark, folder, "documents"), tails=True)
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults, cheapest repair and repaired digest of every conversation after planted damage."""
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -98,5 +104,5 @@ def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_lm_scoring, op3_license_scan, op4_quality_rules, op5_quality_classifier, op6_best_fit_packing,
     op7_substring_dedup, op8_suffix_array_dedup, op9_decontamination, op10_near_duplicates,
-    op12_conversation_repair, op13_mixing,
+    op11_periodic_runs, op12_conversation_repair, op13_mixing,
 )}
