@@ -18,10 +18,12 @@ from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions.exprs import fill_template, once
 from .local_summary import best_sentences, local_summary
+from .lookup import asked_rows, local_join
 from .skew import salted_join
 
 PREPARED_REPLY = ["summarize", "ask"]
 EMPTY = "empty:"
+CORPUS = "corpus:"
 STATE = ["style", "length", "language", "doc_ref"]
 DEFAULTS = {"style": "paragraph", "length": "medium", "language": "English"}
 
@@ -82,16 +84,19 @@ def parse_commands(log: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFr
     return split.select("session", "turn", F.when(valid, F.substr("word", F.lit(2))).alias("command"), "argument")
 
 
-def resolve_documents(commands: DataFrame, raw: DataFrame) -> DataFrame:
+def resolve_documents(commands: DataFrame, raw: DataFrame, buckets: int | None = None) -> DataFrame:
     """Adds ``doc_ref``, what a /doc or /paste line makes the current document.
 
     A /doc with an id outside the corpus keeps NULL.  An empty /paste replaces the
     document by nothing.  Ids asked for by a large share of the log are salted.
+    ``raw`` may be the ids of the articles with a text alone; bucketed by doc_id into
+    ``buckets`` it is not moved, whatever its size.
     """
-    asked = commands.withColumn("wanted", F.when(F.col("command") == "doc", F.col("argument")))
-    ids = raw.filter(F.col("text").isNotNull()).select(
-        F.col("doc_id").alias("wanted"), F.concat(F.lit("corpus:"), "doc_id").alias("found")
-    )
+    wanted = F.when(F.col("command") == "doc", F.col("argument"))
+    asked = commands.withColumn("wanted", wanted)
+    known = raw.filter(F.col("text").isNotNull()) if "text" in raw.columns else raw
+    found = asked_rows(known.select("doc_id"), commands.select(wanted.alias("doc_id")), "doc_id", buckets)
+    ids = found.select(F.col("doc_id").alias("wanted"), F.concat(F.lit(CORPUS), "doc_id").alias("found"))
     kind = F.when(F.length("argument") > 0, "paste:").otherwise(EMPTY)
     pasted = F.concat(kind, "session", F.lit(":"), "turn")
     return salted_join(asked, ids, "wanted").select(
@@ -157,23 +162,43 @@ def _no_document() -> Column:
     return F.col("doc_ref").isNull() | F.col("doc_ref").startswith(EMPTY)
 
 
-def documents_in_use(state: DataFrame, raw: DataFrame) -> DataFrame:
-    """(doc_ref, title, text) for every document some row refers to, each once."""
-    refs = state.select(F.explode(F.array("doc_ref", "set_ref")).alias("doc_ref")).dropna().distinct()
-    corpus = raw.select(F.concat(F.lit("corpus:"), "doc_id").alias("doc_ref"), "title", "text")
+def document_key(ref: Column) -> Column:
+    """The key under which documents are joined: the article's id, so that articles stay in their buckets."""
+    return F.when(ref.startswith(CORPUS), F.substring(ref, len(CORPUS) + 1, 1 << 30)).otherwise(F.concat(F.lit("\u0000"), ref))
+
+
+def documents_in_use(state: DataFrame, raw: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(doc_key, doc_ref, title, text) for every document some row refers to, each once.
+
+    Articles are picked out of ``raw`` in its ``buckets``; pasted texts, which the log holds, are dealt to them.
+    """
+    refs = state.select(F.explode(F.array("doc_ref", "set_ref")).alias("ref")).filter(F.col("ref").startswith(CORPUS))
+    articles = asked_rows(
+        raw.select("doc_id", "title", "text"), refs.select(document_key(F.col("ref")).alias("doc_id")), "doc_id", buckets)
+    corpus = articles.select(F.col("doc_id").alias("doc_key"), F.concat(F.lit(CORPUS), "doc_id").alias("doc_ref"), "title", "text")
     pasted = state.filter(F.col("command") == "paste").select(
-        F.col("set_ref").alias("doc_ref"), F.lit(None).cast("string").alias("title"), F.col("argument").alias("text")
-    )
-    return corpus.unionByName(pasted).join(refs, "doc_ref", "left_semi")
+        document_key(F.col("set_ref")).alias("doc_key"), F.col("set_ref").alias("doc_ref"),
+        F.lit(None).cast("string").alias("title"), F.col("argument").alias("text"))
+    return corpus.unionByName(pasted.repartition(buckets, "doc_key") if buckets else pasted)
+
+
+def _attach(rows: DataFrame, ref: str, documents: DataFrame, buckets: int | None) -> DataFrame:
+    """``rows`` with the columns of ``documents`` (doc_key, ...) that ``ref`` names; with ``buckets`` no document is moved."""
+    keyed = rows.withColumn("doc_key", document_key(F.col(ref)))
+    if buckets:
+        return local_join(keyed, documents, "doc_key", buckets)
+    return salted_join(keyed, documents, "doc_key")
 
 
-def prompt_messages(state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFrame:
+def prompt_messages(
+    state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts(), buckets: int | None = None
+) -> DataFrame:
     """(session, turn, command, messages) for each /summarize, /ask and /prompt that can be answered.
 
-    Documents are sanitised once each, before they are joined to the requests.
+    Documents are sanitised once each, before they are joined to the requests; ``buckets`` says that they are bucketed.
     """
     asked = state.filter(F.col("command").isin(*PREPARED_REPLY, "prompt") & (F.col("status") == "ok"))
-    safe = documents.select("doc_ref", tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("safe_text"))
+    safe = documents.select("doc_key", tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("safe_text"))
     placeholder = tx.sanitise(F.lit("<document>"))
     question = F.when(
         (F.col("command") == "ask") & (F.length("argument") > 0),
@@ -188,7 +213,7 @@ def prompt_messages(state: DataFrame, documents: DataFrame, texts: PromptTexts =
     }
     user = F.when(question.isNotNull(), fill_template(texts.question, values)).otherwise(fill_template(texts.summary, values))
     messages = F.array(_message("system", F.lit(texts.system)), _message("user", user))
-    return salted_join(asked, safe, "doc_ref").select("session", "turn", "command", messages.alias("messages"))
+    return _attach(asked, "doc_ref", safe, buckets).select("session", "turn", "command", messages.alias("messages"))
 
 
 def prompt_preview(messages: DataFrame, max_chars: int = fv.PROMPT_PREVIEW_CHARS) -> DataFrame:
@@ -198,16 +223,18 @@ def prompt_preview(messages: DataFrame, max_chars: int = fv.PROMPT_PREVIEW_CHARS
     )
 
 
-def offline_replies(state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFrame:
+def offline_replies(
+    state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts(), buckets: int | None = None
+) -> DataFrame:
     """(session, turn, command, reply) for each /summarize and /ask, without a language model.
 
     Every document in use is summarised once; tl;dr takes the best sentence,
     other styles the best three.  The length setting has no effect offline.
     """
     asked = state.filter(F.col("command").isin(PREPARED_REPLY))
-    bodies = documents.select(F.col("doc_ref").alias("doc_id"), tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("text"))
-    best = local_summary(bodies.filter(F.col("text").isNotNull()).repartition("doc_id"))
-    known = best.withColumnRenamed("doc_id", "doc_ref")
+    bodies = documents.select(F.col("doc_key").alias("doc_id"), tx.sanitise(F.col("text"), fv.PROMPT_DOCUMENT_CHARS).alias("text"))
+    some = bodies.filter(F.col("text").isNotNull())
+    known = local_summary(some if buckets else some.repartition("doc_id")).withColumnRenamed("doc_id", "doc_key")
     chosen = F.when(F.col("style") == "tldr", best_sentences("best", 1)).otherwise(best_sentences("best"))
     bullets = F.array_join(F.transform(chosen, lambda s: F.concat(F.lit("- "), s)), "\n")
     summary = F.when(F.col("style") == "bullets", bullets).otherwise(F.array_join(chosen, " "))
@@ -218,14 +245,16 @@ def offline_replies(state: DataFrame, documents: DataFrame, texts: PromptTexts =
         .when(is_question, texts.needs_model_question)
         .otherwise(summary)
     )
-    return salted_join(asked, known, "doc_ref").select("session", "turn", "command", reply.alias("reply"))
+    return _attach(asked, "doc_ref", known, buckets).select("session", "turn", "command", reply.alias("reply"))
 
 
-def confirmations(state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts()) -> DataFrame:
+def confirmations(
+    state: DataFrame, documents: DataFrame, texts: PromptTexts = PromptTexts(), buckets: int | None = None
+) -> DataFrame:
     """(session, turn, command, reply) for the rows that set state or are refused."""
     others = state.filter(~F.coalesce(F.col("command").isin(*PREPARED_REPLY, "prompt"), F.lit(False)))
     words = tx.word_count(tx.collapse_space(F.col("text")))
-    loaded = documents.select(F.col("doc_ref").alias("set_ref"), "title", words.alias("words"))
+    loaded = documents.select("doc_key", "title", words.alias("words"))
     command = F.col("command")
     reply = (
         F.when(F.col("status") == "unknown_command", texts.unknown_command)
@@ -237,10 +266,10 @@ def confirmations(state: DataFrame, documents: DataFrame, texts: PromptTexts = P
         .when(command == "lang", F.concat(F.lit("language: "), "language"))
         .otherwise(command)
     )
-    return salted_join(others, loaded, "set_ref").select("session", "turn", "command", reply.alias("reply"))
+    return _attach(others, "set_ref", loaded, buckets).select("session", "turn", "command", reply.alias("reply"))
 
 
-def audit_rows(state: DataFrame, documents: DataFrame) -> DataFrame:
+def audit_rows(state: DataFrame, documents: DataFrame, buckets: int | None = None) -> DataFrame:
     """(session, turn, event, doc_sha256) for each load, paste, summary and question.
 
     The fingerprint is taken of the text as loaded, before it is sanitised; the
@@ -248,8 +277,8 @@ def audit_rows(state: DataFrame, documents: DataFrame) -> DataFrame:
     """
     events = {"doc": "load_doc", "paste": "paste_doc", "summarize": "summarize", "ask": "ask"}
     used = state.filter(F.col("command").isin(list(events)) & (F.col("status") == "ok"))
-    prints = documents.select("doc_ref", tx.fingerprint(F.col("text")).alias("doc_sha256"))
-    return salted_join(used, prints, "doc_ref").select(
+    prints = documents.select("doc_key", tx.fingerprint(F.col("text")).alias("doc_sha256"))
+    return _attach(used, "doc_ref", prints, buckets).select(
         "session", "turn", _lookup(events, "command").alias("event"), "doc_sha256"
     )
 

@@ -11,6 +11,13 @@ MAX_HOT_KEYS = 1_000
 MAX_SALTS = 65_536
 
 
+def hot_keys(rows: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """(hot_key, rows): the ``MAX_HOT_KEYS`` largest of the keys with more than ``hot_rows`` rows, long ones by digest."""
+    counts = rows.groupBy(bounded_key(F.col(key).cast("string")).alias("hot_key")).agg(F.count("*").alias("rows"))
+    large = counts.filter((F.col("rows") > hot_rows) & F.col("hot_key").isNotNull())
+    return large.orderBy(F.desc("rows")).limit(MAX_HOT_KEYS)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, hot_rows: int = 1_000_000, how: str = "left"
 ) -> DataFrame:
@@ -23,10 +30,8 @@ def salted_join(
     Rows without a key match nothing and are spread as well.  ``left`` is read
     twice, so pass a written table.
     """
-    counts = left.groupBy(bounded_key(F.col(key).cast("string")).alias("hot_key")).agg(F.count("*").alias("rows"))
-    large = counts.filter((F.col("rows") > hot_rows) & F.col("hot_key").isNotNull())
     needed = F.least(F.ceil(F.col("rows") / hot_rows), F.lit(MAX_SALTS)).cast("int")
-    hot = F.broadcast(large.orderBy(F.desc("rows")).limit(MAX_HOT_KEYS).select("hot_key", needed.alias("salts")))
+    hot = F.broadcast(hot_keys(left, key, hot_rows).select("hot_key", needed.alias("salts")))
     is_hot = bounded_key(F.col(key).cast("string")) == F.col("hot_key")
     salts = F.when(F.col(key).isNull(), MAX_SALTS).otherwise(F.coalesce("salts", F.lit(1)))
     salted_left = left.join(hot, is_hot, "left").withColumn("salt", F.pmod(F.xxhash64(*left.columns), salts).cast("int"))

@@ -290,28 +290,28 @@ def session_state(ws: Workspace) -> DataFrame:
 
 @query
 def prompt_messages(ws: Workspace) -> DataFrame:
-    messages = assistant.prompt_messages(ws.session_state, ws.documents_in_use)
+    messages = assistant.prompt_messages(ws.session_state, ws.documents_in_use, buckets=ws.buckets)
     return messages.select("session", "turn", F.inline("messages"))
 
 
 @query
 def prompt_preview(ws: Workspace) -> DataFrame:
-    return assistant.prompt_preview(assistant.prompt_messages(ws.session_state, ws.documents_in_use))
+    return assistant.prompt_preview(assistant.prompt_messages(ws.session_state, ws.documents_in_use, buckets=ws.buckets))
 
 
 @query
 def offline_reply(ws: Workspace) -> DataFrame:
-    return assistant.offline_replies(ws.session_state, ws.documents_in_use)
+    return assistant.offline_replies(ws.session_state, ws.documents_in_use, buckets=ws.buckets)
 
 
 @query
 def confirmations(ws: Workspace) -> DataFrame:
-    return assistant.confirmations(ws.session_state, ws.documents_in_use)
+    return assistant.confirmations(ws.session_state, ws.documents_in_use, buckets=ws.buckets)
 
 
 @query
 def audit_rows(ws: Workspace) -> DataFrame:
-    return assistant.audit_rows(ws.session_state, ws.documents_in_use)
+    return assistant.audit_rows(ws.session_state, ws.documents_in_use, buckets=ws.buckets)
 
 
 # --- sinks -----------------------------------------------------------------------------
@@ -332,7 +332,7 @@ def parquet_roundtrip(ws: Workspace) -> DataFrame:
 @query
 def audit_append(ws: Workspace) -> DataFrame:
     """Two appends of the audit rows, loads and the rest, read back without the time."""
-    rows = assistant.stamped(assistant.audit_rows(ws.session_state, ws.documents_in_use))
+    rows = assistant.stamped(assistant.audit_rows(ws.session_state, ws.documents_in_use, buckets=ws.buckets))
     path = ws.fresh_path("audit")
     sinks.append_audit(rows.filter("event LIKE '%doc'"), path)
     sinks.append_audit(rows.filter("event NOT LIKE '%doc'"), path)

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import assistant, clean, eda, evaluate, learner, sentences, textrank, weights
 from ..session import shared_folder
@@ -52,9 +53,9 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
-    def write_bucketed(self, df: DataFrame, name: str) -> DataFrame:
+    def write_bucketed(self, df: DataFrame, name: str, key: str = "doc_id") -> DataFrame:
         self.tables.append(f"{self.run}_{name}")
-        return write_bucketed(df, self.path(name), self.tables[-1], self.buckets)
+        return write_bucketed(df, self.path(name), self.tables[-1], self.buckets, key)
 
     def forget(self) -> None:
         """Take the bucketed tables out of the session's catalog; ``folder`` can then be deleted as a whole."""
@@ -166,16 +167,23 @@ class Workspace:
     def ranged_words(self) -> DataFrame:
         return self.write(eda.with_range_number(eda.word_frequency(self.docs)), "ranged_words")
 
+    @cached_property
+    def known_ids(self) -> DataFrame:
+        """The ids of the articles with a text, in their buckets: what a request is checked against."""
+        return self.write_bucketed(self.raw.filter(F.col("text").isNotNull()).select("doc_id"), "known_ids")
+
     @cached_property
     def session_state(self) -> DataFrame:
         log = request_log.from_conversations(self.spark, self.input("conversations"))
         commands = self.write(assistant.parse_commands(log), "commands")
-        state = assistant.session_state(self.write(assistant.resolve_documents(commands, self.raw), "resolved"))
+        resolved = assistant.resolve_documents(commands, self.known_ids, self.buckets)
+        state = assistant.session_state(self.write(resolved, "resolved"))
         return self.write(state, "session_state")
 
     @cached_property
     def documents_in_use(self) -> DataFrame:
-        return self.write(assistant.documents_in_use(self.session_state, self.raw), "documents_in_use")
+        used = assistant.documents_in_use(self.session_state, self.raw, self.buckets)
+        return self.write_bucketed(used, "documents_in_use", "doc_key")
 
 
 _OPEN: dict[tuple, Workspace] = {}

@@ -171,3 +171,61 @@ def test_repeated_ids_are_refused(spark, tmp_path):
         .write.parquet(f"{tmp_path}/documents.parquet")
     with pytest.raises(ValueError, match="unique"):
         Workspace(spark, str(tmp_path)).docs
+
+
+def scans_below_exchange(df, column):
+    """Lines of the plan that scan ``column`` of a file with a shuffle somewhere above them."""
+    path, found = [], []
+    for line in plan_of(df).splitlines():
+        depth = len(re.match(r"[\s:+\-]*", line).group())
+        path = [(d, shuffles_) for d, shuffles_ in path if d < depth]
+        if "FileScan" in line and re.search(rf"ReadSchema: struct<[^>]*\b{column}:", line) and any(s for _, s in path):
+            found.append(line)
+        path.append((depth, bool(re.search(r"(?<!Broadcast)Exchange (?:hash|range|round|Single)", line, re.I))))
+    return found
+
+
+def test_texts_are_not_moved_for_requests(spark, ws):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state, documents = ws.session_state, ws.documents_in_use
+        used = assistant.documents_in_use(state, ws.raw, ws.buckets)
+        asked = [f(state, documents, buckets=ws.buckets) for f in (
+            assistant.prompt_messages, assistant.offline_replies, assistant.audit_rows, assistant.confirmations)]
+        for df in (used, *asked):
+            assert "text:string" in plan_of(df) and scans_below_exchange(df, "text") == []
+        # the check of the ids reads no text
+        commands = ws.spark.read.parquet(ws.path("commands"))
+        assert "text:string" not in plan_of(assistant.resolve_documents(commands, ws.known_ids, ws.buckets))
+        # the test itself sees a shuffle of texts
+        moved = documents.select("text", F.col("doc_ref")).join(state, "doc_ref")
+        assert scans_below_exchange(moved, "text")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_asked_rows_are_all_found(spark):
+    from gistmill.operators import lookup
+
+    table = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("v"))
+    asked = spark.range(0, 6000, 37).select(F.when(F.col("id") % 5 != 0, F.concat(F.lit("k"), "id")).alias("key"))
+    expected = rows(table.join(asked.distinct(), "key", "left_semi"))
+    assert rows(lookup.asked_rows(table, asked, "key")) == expected
+    few = lookup.may_be_asked(table, asked, "key")
+    assert len(expected) <= few.count() <= len(expected) + 5
+    full = lookup.may_be_asked(table, asked, "key", bits=64)  # a filter that is full lets all pass, and loses none
+    assert set(expected) <= set(rows(full))
+    assert lookup.asked_rows(table, asked.limit(0), "key").count() == 0
+
+
+def test_local_join_equals_plain_join(spark):
+    from gistmill.operators import lookup
+
+    left = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot" * 100)
+        .otherwise(F.concat(F.lit("k"), "id")).alias("key"), F.col("id").alias("v"))
+    right = spark.createDataFrame([("hot" * 100, 1), ("k2", 2), ("k5", 3), ("unused", 4)], "key string, w int")
+    plain = left.join(right, "key", "left")
+    for hot_rows in (100, 1000):
+        joined = lookup.local_join(left, right, "key", 4, hot_rows)
+        assert joined.columns == plain.columns and rows(joined) == rows(plain)
