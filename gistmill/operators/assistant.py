@@ -144,11 +144,12 @@ def session_state(resolved: DataFrame, block_turns: int = 65_536) -> DataFrame:
         inside.join(before, ["session", "block"])
         .filter(F.col("closed_now").isNull() & F.col("closed_before").isNull())
         .select("session", "turn", "command", "argument", "set_ref", *in_force)
-        .withColumn("status", _status())
+        .withColumn("status", status())
     )
 
 
-def _status() -> Column:
+def status() -> Column:
+    """What a row's state makes of its command."""
     command = F.col("command")
     return (
         F.when(command.isNull(), "unknown_command")
@@ -168,18 +169,24 @@ def document_key(ref: Column) -> Column:
 
 
 def documents_in_use(state: DataFrame, raw: DataFrame, buckets: int | None = None) -> DataFrame:
-    """(doc_key, doc_ref, title, text) for every document some row refers to, each once.
+    """(doc_key, doc_ref, title, text) for every document some row refers to, each once; ``raw`` as of ``articles_in_use``."""
+    pasted = state.filter(F.col("command") == "paste").select(F.col("set_ref").alias("doc_ref"), F.col("argument").alias("text"))
+    return with_pasted(articles_in_use(state, raw, buckets), pasted, buckets)
 
-    Articles are picked out of ``raw`` in its ``buckets``; pasted texts, which the log holds, are dealt to them.
-    """
+
+def articles_in_use(state: DataFrame, raw: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(doc_key, doc_ref, title, text) for every article some row refers to, picked out of ``raw`` in its ``buckets``."""
     refs = state.select(F.explode(F.array("doc_ref", "set_ref")).alias("ref")).filter(F.col("ref").startswith(CORPUS))
     articles = asked_rows(
         raw.select("doc_id", "title", "text"), refs.select(document_key(F.col("ref")).alias("doc_id")), "doc_id", buckets)
-    corpus = articles.select(F.col("doc_id").alias("doc_key"), F.concat(F.lit(CORPUS), "doc_id").alias("doc_ref"), "title", "text")
-    pasted = state.filter(F.col("command") == "paste").select(
-        document_key(F.col("set_ref")).alias("doc_key"), F.col("set_ref").alias("doc_ref"),
-        F.lit(None).cast("string").alias("title"), F.col("argument").alias("text"))
-    return corpus.unionByName(pasted.repartition(buckets, "doc_key") if buckets else pasted)
+    return articles.select(F.col("doc_id").alias("doc_key"), F.concat(F.lit(CORPUS), "doc_id").alias("doc_ref"), "title", "text")
+
+
+def with_pasted(articles: DataFrame, pasted: DataFrame, buckets: int | None = None) -> DataFrame:
+    """``articles`` and the texts of ``pasted`` (doc_ref, text), which are dealt to the articles' buckets."""
+    texts = pasted.select(
+        document_key(F.col("doc_ref")).alias("doc_key"), "doc_ref", F.lit(None).cast("string").alias("title"), "text")
+    return articles.unionByName(texts.repartition(buckets, "doc_key") if buckets else texts)
 
 
 def _attach(rows: DataFrame, ref: str, documents: DataFrame, buckets: int | None) -> DataFrame:

@@ -497,3 +497,5 @@ ORACLES: dict[str, str] = {
                   round(avg_sent_len, 6) AS avg_sent_len FROM docs""", "docs"),
 }
 ORACLES["audit_append"] = ORACLES["audit_rows"]
+for _batch in ("session_state", "prompt_messages", "audit_rows"):
+    ORACLES[f"{_batch}_stream"] = ORACLES[_batch]

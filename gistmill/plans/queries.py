@@ -314,6 +314,22 @@ def audit_rows(ws: Workspace) -> DataFrame:
     return assistant.audit_rows(ws.session_state, ws.documents_in_use, buckets=ws.buckets)
 
 
+@query
+def session_state_stream(ws: Workspace) -> DataFrame:
+    """The state of sessions kept by a stream that was stopped in the middle of the log."""
+    return ws.live.table("state").drop("argument", "pasted")
+
+
+@query
+def prompt_messages_stream(ws: Workspace) -> DataFrame:
+    return ws.live.table("prompts").select("session", "turn", F.inline("messages"))
+
+
+@query
+def audit_rows_stream(ws: Workspace) -> DataFrame:
+    return ws.live.table("audit")
+
+
 # --- sinks -----------------------------------------------------------------------------
 @query
 def csv_roundtrip(ws: Workspace) -> DataFrame:

@@ -36,6 +36,10 @@ SECOND_LINES = [
 ]
 
 
+#: a live log is read in two parts, the first of which ends before this turn
+FIRST_TURNS = 4
+
+
 def from_conversations(spark: SparkSession, path: str) -> DataFrame:
     """(session, turn, line)"""
     turns = spark.read.parquet(path).select("conv_id", "turn", "text")

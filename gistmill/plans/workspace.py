@@ -17,10 +17,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assistant, clean, eda, evaluate, learner, sentences, textrank, weights
+from ..operators import assistant, clean, eda, evaluate, learner, textrank, weights
+from ..operators import sentences as sentence_ops
 from ..session import shared_folder
 from ..sources import bucket_count, check_unique, ingest, read_documents, spread, write_bucketed
 from ..sources.corpus import BUCKET_BYTES, input_bytes
+from ..streaming import sessions
 from . import request_log
 
 
@@ -112,7 +114,7 @@ class Workspace:
 
     @cached_property
     def scores(self) -> DataFrame:
-        return self.write_bucketed(sentences.sentence_scores(self.docs, self.idf_index), "scores")
+        return self.write_bucketed(sentence_ops.sentence_scores(self.docs, self.idf_index), "scores")
 
     @cached_property
     def ranks(self) -> DataFrame:
@@ -142,14 +144,14 @@ class Workspace:
 
     def _picks(self) -> dict[str, DataFrame]:
         return {
-            "tfidf_summary": sentences.pick_top(self.scores, "tfidf_score"),
+            "tfidf_summary": sentence_ops.pick_top(self.scores, "tfidf_score"),
             "textrank_summary": textrank.pick_ranked(self.ranks),
         }
 
     @cached_property
     def all_summaries(self) -> DataFrame:
         """The summaries with those of the classifier, which exist for test documents only."""
-        learned = sentences.pick_top(self.predictions, "p")
+        learned = sentence_ops.pick_top(self.predictions, "p")
         table = evaluate.assemble_summaries(self.docs, self.keywords, **self._picks(), gbt_summary=learned)
         return self.write_bucketed(table, "all_summaries")
 
@@ -180,6 +182,17 @@ class Workspace:
         state = assistant.session_state(self.write(resolved, "resolved"))
         return self.write(state, "session_state")
 
+    @cached_property
+    def live(self) -> sessions.LiveAssistant:
+        """The request log as it arrives: its first turns, then, after a stop, the rest."""
+        log = request_log.from_conversations(self.spark, self.input("conversations"))
+        live = sessions.LiveAssistant(self.spark, self.path("live"), self.raw, self.known_ids, self.buckets)
+        early = F.coalesce(F.col("turn") < request_log.FIRST_TURNS, F.lit(False))
+        for arrived in (early, ~early):
+            log.where(arrived).write.mode("append").parquet(self.path("log_lines"))
+            live.run(self.path("log_lines"))
+        return live
+
     @cached_property
     def documents_in_use(self) -> DataFrame:
         used = assistant.documents_in_use(self.session_state, self.raw, self.buckets)
