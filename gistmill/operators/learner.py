@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +15,14 @@ from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
 from ..functions.exprs import once
+from ..session import shared_folder
 from .sentences import pick_top, summary_from
 
 
+#: Sentences that trees are grown on by default; all are scored.
+MAX_ROWS = 2_000_000
+
+
 def is_training(doc_id: Column) -> Column:
     return doc_id.startswith("training")
 
@@ -75,14 +79,16 @@ def assemble(features: DataFrame, columns: Sequence[str] = fv.FEATURES) -> DataF
     return vectors.select("doc_id", "sent_idx", "label", "features")
 
 
-def fit_gbt(features: DataFrame, share: float = 1.0, **params) -> GBTClassificationModel:
+def fit_gbt(features: DataFrame, share: float = 1.0, max_rows: int = MAX_ROWS, **params) -> GBTClassificationModel:
     """Train on the training documents.  Pass a written table: trees are grown in many passes.
 
-    ``share`` bounds the labelled rows: that part of the training documents, chosen by a hash of the id; all by default.
+    At most about ``max_rows`` sentences are trained on, or the part ``share`` of
+    them if that is less; whole documents are chosen by a hash of the id.
     """
     settings = {**fv.GBT_PARAMS, **params}
     classifier = GBTClassifier(featuresCol="features", labelCol="label", **settings)
     train = features.filter(is_training(F.col("doc_id")))
+    share = min(share, max_rows / max(train.count(), 1))
     if share < 1.0:
         train = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     return classifier.fit(assemble(train))
@@ -95,8 +101,42 @@ def gbt_predictions(model: GBTClassificationModel, features: DataFrame) -> DataF
     return scored.select("doc_id", "sent_idx", "label", "rawPrediction", "p")
 
 
+def by_score(predictions: DataFrame, score: str = "p", label: str = "label", partitions: int | None = None) -> DataFrame:
+    """(score, positive, negative, part): one row a score, range partitioned by it; write this table before ``exact_auc``.
+
+    Equal scores are one row, so no tie lies across the border of two ranges.
+    """
+    counts = predictions.groupBy(F.col(score).alias("score")).agg(
+        F.sum((F.col(label) > 0).cast("long")).alias("positive"), F.sum((F.col(label) <= 0).cast("long")).alias("negative"))
+    ranged = counts.repartitionByRange(partitions, "score") if partitions else counts.repartitionByRange("score")
+    return ranged.withColumn("part", F.spark_partition_id())
+
+
+def exact_auc(scores: DataFrame) -> DataFrame:
+    """(n, n_positive, auc), exact: the chance that a positive row scores above a negative one, ties counting half.
+
+    ``scores`` is a written ``by_score`` table.  Negatives are counted up inside
+    each range, and one row per range carries them over: no row is binned and no
+    range but its own is sorted.  NULL without rows of both kinds.
+    """
+    sums = scores.groupBy("part").agg(F.sum("negative").alias("sum"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = F.broadcast(sums.select("part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset")))
+    own = W.partitionBy("part").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("negative").over(own), F.lit(0)) + F.col("offset")
+    # twice the pairs won, in whole numbers
+    won = F.col("positive").cast("decimal(38,0)") * (2 * below + F.col("negative"))
+    counted = scores.join(offsets, "part").withColumn("won", won).agg(
+        F.coalesce(F.sum(F.col("positive") + F.col("negative")), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("positive"), F.lit(0)).alias("n_positive"), F.sum("won").alias("won"))
+    pairs = F.col("n_positive").cast("double") * (F.col("n") - F.col("n_positive"))
+    return counted.select("n", "n_positive", F.when(pairs > 0, F.col("won").cast("double") / (2 * pairs)).alias("auc"))
+
+
 def area_under_roc(predictions: DataFrame) -> float:
-    return BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(predictions)
+    """The exact AUC of predictions (p, label); the counts by score are checkpointed."""
+    shared_folder(predictions.sparkSession)  # sets the checkpoint folder of a local session
+    return exact_auc(by_score(predictions).checkpoint()).first()["auc"]
 
 
 def importances(spark: SparkSession, model: GBTClassificationModel, columns: Sequence[str] = fv.FEATURES) -> DataFrame:

@@ -409,6 +409,19 @@ ORACLES: dict[str, str] = {
            JOIN (SELECT category, least(n_words, 1000) AS v FROM docs) USING (category)
            GROUP BY category, n_docs, q1, median, q3""", "docs"),
     "document_frequency": _with(_rounded("SELECT * FROM idf", "idf"), "idf"),
+    "document_frequency_incremental": _with(_rounded("SELECT * FROM idf", "idf"), "idf"),
+    "distinct_words_sketched": _with(
+        """SELECT category, count(DISTINCT word) AS distinct_words, true AS within_bound, true AS as_built_at_once
+           FROM (SELECT category, unnest(tokens) AS word FROM docs) GROUP BY ROLLUP (category)""", "docs"),
+    "length_quantiles_sketched": _with(
+        """SELECT category, count(*) AS n_docs, true AS within_25, true AS within_50, true AS within_75
+           FROM docs GROUP BY category""", "docs"),
+    "tfidf_auc": _with(
+        """SELECT n, n_positive, round((ranks - n_positive * (n_positive + 1) / 2) / n_positive / (n - n_positive), 9) AS auc
+           FROM (SELECT count(*) AS n, count(*) FILTER (positive) AS n_positive, sum(middle) FILTER (positive) AS ranks
+                 FROM (SELECT positive, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2 AS middle
+                       FROM (SELECT overlap_rank <= 2 AND overlap > 0 AS positive, round(tfidf_norm, 6) AS score
+                             FROM features)))""", "features"),
     "term_weights": _with(_rounded("SELECT * FROM weights", "w"), "weights"),
     "keywords_top10": _with("SELECT doc_id, array_to_string(keywords, ' ') AS keywords FROM keywords", "keywords"),
     "sentence_scores": _with(_rounded("SELECT * FROM scores", "wsum", "tfidf_norm", "tfidf_score"), "scores"),

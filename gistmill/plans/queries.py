@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import tokens as tk
-from ..operators import assistant, clean, eda, evaluate, learner, local_summary, sentences, textrank
+from ..operators import assistant, clean, eda, evaluate, increments, learner, local_summary, sentences, textrank
 from ..sources import corpus, sinks
 from ..streaming import redaction
 from .workspace import Workspace, workspace
@@ -133,6 +133,45 @@ def length_box_by_category(ws: Workspace) -> DataFrame:
     return eda.length_box(ws.docs)
 
 
+# --- statistics kept up to date -----------------------------------------------------
+@query
+def document_frequency_incremental(ws: Workspace) -> DataFrame:
+    """Document frequency and idf of three batches, two of them compacted."""
+    return ws.term_counts.idf()
+
+
+@query
+def distinct_words_sketched(ws: Workspace) -> DataFrame:
+    """Distinct words of every category (null: all) by merged sketches, held against exact counts."""
+    rows = ws.group_sketches.read()
+    levels = increments.merged(rows, "category").unionByName(
+        increments.merged(rows).select(F.lit(None).cast("string").alias("category"), "n_docs", "words", "lengths"))
+    words = ws.docs.select("category", F.explode(F.array_distinct("tokens")).alias("word")).distinct()
+    exact = words.groupBy("category").agg(F.count("*").alias("exact")).unionByName(
+        words.select("word").distinct().agg(F.count("*").alias("exact")).select(
+            F.lit(None).cast("string").alias("category"), "exact"))
+    at_once = increments.group_sketches(ws.docs, "category").select(
+        F.col("category").alias("of"), increments.distinct_words().alias("at_once"))
+    estimate, bound = increments.distinct_words(), 4 * increments.DISTINCT_ERROR
+    return (
+        levels.withColumnRenamed("category", "group").join(exact, F.col("group").eqNullSafe(F.col("category")))
+        .join(at_once, F.col("group") == F.col("of"), "left")
+        .select(
+            "category", F.col("exact").alias("distinct_words"),
+            (F.abs(estimate - F.col("exact")) <= bound * F.col("exact") + 1).alias("within_bound"),
+            (F.abs(estimate - F.coalesce("at_once", estimate)) <= bound * F.col("exact") + 1).alias("as_built_at_once"))
+    )
+
+
+@query
+def length_quantiles_sketched(ws: Workspace) -> DataFrame:
+    """Quartiles of document length of every category by merged sketches: is each rank within the stated error?"""
+    merged = increments.merged(ws.group_sketches.read(), "category")
+    errors = increments.with_rank_errors(merged, ws.docs)
+    return errors.select("category", "n_docs", *[
+        (F.col(c) <= increments.RANK_ERROR).alias(c.replace("error", "within")) for c in errors.columns if c.startswith("error_")])
+
+
 # --- weights, scores, summaries --------------------------------------------------
 @query
 def document_frequency(ws: Workspace) -> DataFrame:
@@ -215,8 +254,15 @@ def gbt_importance(ws: Workspace) -> DataFrame:
 
 @query
 def gbt_auc(ws: Workspace) -> DataFrame:
-    value = learner.area_under_roc(ws.predictions)
-    return ws.predictions.agg(F.count("*").alias("n_sentences")).withColumn("auc", F.lit(value))
+    return learner.exact_auc(ws.scored(ws.predictions, "gbt")).select(F.col("n").alias("n_sentences"), "auc")
+
+
+# a score alone, without a model: the SQL has it, too
+@partial(query, decimals=9)
+def tfidf_auc(ws: Workspace) -> DataFrame:
+    """How well the normalised tf-idf score of a sentence finds the sentences that share most with the headline."""
+    rows = ws.features.select("label", F.round("tfidf_norm", 6).alias("score"))
+    return learner.exact_auc(ws.scored(rows, "tfidf", "score"))
 
 
 # --- assembly and evaluation -------------------------------------------------------

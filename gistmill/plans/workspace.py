@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assistant, clean, eda, evaluate, learner, textrank, weights
+from ..operators import assistant, clean, eda, evaluate, increments, learner, textrank, weights
 from ..operators import sentences as sentence_ops
 from ..session import shared_folder
 from ..sources import bucket_count, check_unique, ingest, read_documents, spread, write_bucketed
@@ -137,6 +137,32 @@ class Workspace:
     def predictions(self) -> DataFrame:
         return self.write_bucketed(learner.gbt_predictions(self.gbt, self.features), "predictions")
 
+    def scored(self, rows: DataFrame, name: str, score: str = "p") -> DataFrame:
+        return self.write(learner.by_score(rows, score), f"{name}_by_score")
+
+    # --- statistics that grow with the corpus -------------------------------------
+    def batches(self, n: int = 3) -> list[DataFrame]:
+        """The clean documents as if they had come in ``n`` batches."""
+        return [self.docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) == i) for i in range(n)]
+
+    @cached_property
+    def term_counts(self) -> increments.TermCounts:
+        """Document frequencies of three batches; the first two are brought together before the third comes."""
+        counts = increments.TermCounts(self.spark, self.path("term_counts"))
+        for i, batch in enumerate(self.batches()):
+            counts.add_documents(batch, f"batch {i}")
+            if i == 1:
+                counts.compact_terms()
+        return counts
+
+    @cached_property
+    def group_sketches(self) -> increments.GroupSketches:
+        """Sketches per category of three batches."""
+        sketches = increments.GroupSketches(self.spark, self.path("group_sketches"))
+        for i, batch in enumerate(self.batches()):
+            sketches.add_documents(batch, f"batch {i}")
+        return sketches
+
     @cached_property
     def summaries(self) -> DataFrame:
         """Lead, tf-idf and graph summaries with keywords."""

@@ -13,7 +13,6 @@ task: bound the batch by the source's limits if single sessions are large.
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -26,6 +25,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from ..functions import text as tx
 from ..operators import assistant
+from ..sources import versions
 
 # the processor goes to the workers whole: executors need no installed copy
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,20 +122,12 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(PROVIDER, before)
 
 
-def publish(batch: DataFrame, table: str, batch_id: int) -> None:
+def publish(rows: DataFrame, table: str, batch_id: int) -> None:
     """Make the batch's folder of ``table``, unless an earlier run of the batch made it.
 
-    The batch is computed in any case, as its state has to be; hidden until the rename.
+    The batch is computed in any case, as its state has to be.
     """
-    spark = batch.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    hidden, target = f"{table}/_writing-{batch_id}-{uuid.uuid4().hex}", path(f"{table}/batch-{batch_id:09d}")
-    batch.write.parquet(hidden)
-    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if files.exists(target):
-        files.delete(path(hidden), True)
-    elif not files.rename(path(hidden), target) and not files.exists(target):
-        raise OSError(f"could not publish {target}")
+    versions.publish(rows, f"{table}/batch-{batch_id:09d}")
 
 
 @dataclass
