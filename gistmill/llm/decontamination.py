@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
-from .stages import written
+from .stages import row_key, unused, written
 
 WINDOW = 6
 COVERAGE = 0.5
@@ -186,6 +186,8 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no item, with the columns of ``docs``."""
-    gone = matches(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    """The documents that hold no item, with the columns of ``docs``; rows without an id are judged by their text."""
+    key, gone = unused("key", docs.columns), unused("gone", docs.columns)
+    keyed = docs.withColumn(key, row_key())
+    found = matches(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(gone)).distinct()
+    return keyed.join(found, F.col(key) == F.col(gone), "left_anti").select(*docs.columns)

@@ -11,11 +11,11 @@ one class, represented by the least id; only representatives go on.
    others are confirmed on their full sets and become links.
 3. Buckets whose members are not yet one component go on, without the documents
    that have too few shingles in common with other components to have a link
-   (``still_possible``), with further hubs, taken
-   from the members outside the bucket's largest component, until each such
-   member has been a hub.  A pair is made in the first bucket it shares, and only if
-   its sketches are close.  No link between two members of a bucket is lost: they
-   end in one component, or one of them has been a hub and met the other.
+   (``still_possible``).  Their members are dealt to blocks, and each two blocks of
+   a bucket meet in one task, which compares their sketches bit by bit.  Only pairs
+   from different components whose sketches are close leave it, each from the first
+   bucket that it shares, and are confirmed.  So no link between two members of a
+   bucket is lost: they end in one component, or they were compared.
 
 ``bands`` follows from the threshold so that a pair at the threshold shares no
 bucket with a probability of at most ``MISS``; a pair above it with less.
@@ -33,12 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
 from .components import components
-from .stages import written
+from .stages import row_key, unused, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -46,7 +46,9 @@ ROWS = 6
 MISS = 1e-7
 SKETCH_BITS = 1024
 SIGMAS = 5
-HUBS = 64  # hubs of a bucket in the second round, as many times more in each later one
+BLOCK = 512  # members of a bucket that meet as many others in one task
+CHUNK = 1024  # pairs with one document that are confirmed in one task, about
+SHINGLE_ROWS = 1 << 16
 LINKS = "a bigint, b bigint"
 
 
@@ -132,50 +134,67 @@ def sketch_limit(similarity: float, samples: int) -> float:
     return expected + SIGMAS * math.sqrt(of_samples ** 2 + of_collisions)
 
 
-def differing(left: str, right: str) -> Column:
-    """The bits in which two sketches differ."""
-    return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
+def differing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The bits in which sketches differ; the last axis has their words."""
+    return np.bitwise_count(left ^ right).sum(axis=-1, dtype=np.int32)
 
 
-def near_enough(pairs: DataFrame, sketches: DataFrame, most: float) -> DataFrame:
-    """The pairs whose odd sketches differ in ``most`` bits or fewer."""
-    left = sketches.select(F.col("rep").alias("a"), F.col("odd").alias("odd_a"))
-    right = sketches.select(F.col("rep").alias("b"), F.col("odd").alias("odd_b"))
-    return pairs.join(left, "a").join(right, "b").where(differing("odd_a", "odd_b") <= most).select("a", "b")
+def sketch_rows(column: pa.Array) -> np.ndarray:
+    """A column of sketches as rows of 64-bit words (unsigned, as bits of the absolute value are counted)."""
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH_BITS // 64)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose full shingle sets reach ``similarity``, compared in whole percent."""
+def shingle_table(docs: DataFrame, reps: DataFrame, classes: DataFrame) -> DataFrame:
+    """rep, shingles (the sorted fingerprints), bands and odd of every representative in ``reps``."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ar.text_bytes(batch.column("text"))
+            for low, high in ar.blocks(texts):
+                sets = [x.tobytes() for x in shingle_sets(texts[low:high])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("rep")[low:high], pa.array(sets, pa.binary())], names=["rep", "shingles"])
+
+    texts = docs.withColumnRenamed("doc_id", "rep").join(reps.select("rep"), "rep").select("rep", "text").dropDuplicates(["rep"])
+    return texts.mapInArrow(shingles, "rep bigint, shingles binary").join(classes.select("rep", "bands", "odd"), "rep")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float, most: float) -> DataFrame:
+    """The (written) pairs whose odd sketches differ in ``most`` bits or fewer, and whose full shingle sets reach ``similarity``.
+
+    Sets are compared in whole percent.  The pairs with one hub are dealt to several tasks.
+    """
     percent = round(100 * similarity)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = ar.text_bytes(batch.column("text_a")), ar.text_bytes(batch.column("text_b"))
-            keep, last, q = [], None, None
-            for low, high in ar.blocks(left):
-                for p, y in zip(shingle_sets(left[low:high]), right[low:high], strict=True):
-                    if y != last:  # pairs with one hub stand together
-                        last, q = y, shingle_sets([y])[0]
+            close = differing(sketch_rows(batch.column("odd_a")), sketch_rows(batch.column("odd_b"))) <= most
+            keep = []
+            for near, x, y in zip(close.tolist(), batch.column("set_a"), batch.column("set_b"), strict=True):
+                if near:
+                    p, q = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
                     both = len(np.intersect1d(p, q, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(p) + len(q) - both))
+                    near = 100 * both >= percent * (len(p) + len(q) - both)
+                keep.append(near)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, LINKS)
+    chunks = pairs.groupBy("b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("set_a"), F.col("odd").alias("odd_a"))
+    right = sets.join(chunks, F.col("rep") == F.col("b")).select(
+        "b", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("shingles").alias("set_b"),
+        F.col("odd").alias("odd_b"))
+    dealt = pairs.join(chunks, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("chunk"))
+    return dealt.join(left, "a").join(right, ["b", "chunk"]).select("a", "b", "set_a", "odd_a", "set_b", "odd_b").mapInArrow(
+        compare, LINKS)
 
 
 def mixed_buckets(labelled: DataFrame) -> DataFrame:
-    """The rows (bucket, rep, weight, size, component) of buckets with several components; ``largest`` is the most frequent one."""
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = written(
-        parts.groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-        .where("parts > 1").select("bucket", "largest"), "mixed")
-    return written(labelled.drop("largest").join(mixed, "bucket"), "members")
+    """The rows of ``labelled`` (bucket, component, ...) in buckets with several components."""
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return written(labelled.join(mixed.where("least < most").select("bucket"), "bucket"), "members")
 
 
-def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def still_possible(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The rows of ``members`` whose document may have a link to another component, with bands, odd and ``n``, its shared shingles.
 
     A link needs ``similarity / (1 + similarity)`` of both sizes in common.  A shingle
@@ -191,15 +210,16 @@ def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> D
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             reps, components = batch.column("rep").to_numpy(), batch.column("component").to_numpy()
-            texts = ar.text_bytes(batch.column("text"))
-            for low, high in ar.blocks(texts):
-                sets = shingle_sets(texts[low:high])
-                owner = np.repeat(np.arange(low, high), [len(s) for s in sets])
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("shingles")]
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            for low in range(0, len(owner), SHINGLE_ROWS):
+                own = owner[low:low + SHINGLE_ROWS]
                 yield pa.RecordBatch.from_arrays(
-                    [ar.signed(np.concatenate(sets)), pa.array(reps[owner]), pa.array(components[owner])],
+                    [ar.signed(values[low:low + SHINGLE_ROWS]), pa.array(reps[own]), pa.array(components[own])],
                     names=["shingle", "rep", "component"])
 
-    rows = texts.join(reps, "rep").select("rep", "component", "text").mapInArrow(
+    rows = sets.join(reps, "rep").select("rep", "component", "shingles").mapInArrow(
         shingles, "shingle bigint, rep bigint, component bigint")
     common = written(
         rows.groupBy("shingle").agg(F.min("component").alias("first"), F.max("component").alias("last"))
@@ -207,11 +227,72 @@ def still_possible(members: DataFrame, texts: DataFrame, similarity: float) -> D
     enough = (
         rows.join(common, "shingle").groupBy("rep").agg(F.count("*").alias("n")).join(reps, "rep")
         .where(F.col("n") * (100 + percent) >= percent * (F.col("size") + F.col("least"))).select("rep", "n")
-        .join(texts.select("rep", "bands", "odd"), "rep")
+        .join(sets.select("rep", "bands", "odd"), "rep")
     )
     return members.join(written(enough, "possible"), "rep")
 
 
+def close_pairs(members: DataFrame, similarity: float, most: float) -> DataFrame:
+    """The pairs of ``members`` from different components, in one bucket, whose sketches are close and that share enough shingles.
+
+    A bucket's members are dealt to blocks of about ``BLOCK``; each two blocks, and each with itself, are one task's work.
+    """
+    percent = round(100 * similarity)
+
+    def meet(group: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        rows = pa.Table.from_batches(group).combine_chunks()
+        rep, component, size, n, block = (rows.column(c).to_numpy() for c in ("rep", "component", "size", "n", "block"))
+        odd = sketch_rows(rows.column("odd").combine_chunks())
+        bucket, low, high = (rows.column(c)[0].as_py() for c in ("bucket", "low", "high"))
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        # what two documents have in common is at most what either shares with any other component
+        enough = np.minimum(n[left, None], n[None, right]) * (100 + percent) >= percent * (size[left, None] + size[None, right])
+        apart = np.zeros((len(left), len(right)), np.int32)
+        for word in range(odd.shape[1]):
+            apart += np.bitwise_count(odd[left, None, word] ^ odd[None, right, word])
+        i, j = np.nonzero(enough & (component[left, None] != component[None, right]) & (apart <= most))
+        x, y = left[i], right[j]
+        if low == high:
+            x, y = x[x < y], y[x < y]
+        if not len(x):
+            return None
+        # a pair that shares several buckets leaves from the first of them
+        bands = rows.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+        own = np.zeros(len(x), bool)
+        for k in range(0, len(x), CHUNK):
+            same = bands[x[k:k + CHUNK]] == bands[y[k:k + CHUNK]]
+            own[k:k + CHUNK] = bands[x[k:k + CHUNK], same.argmax(axis=1)] == bucket
+        x, y = rep[x[own]], rep[y[own]]
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in ("bucket", "low", "high")]
+            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+                key = tuple(int(k[start]) for k in keys) if end > start else last
+                if held and key != last:
+                    if (found := meet(held)) is not None:
+                        yield found
+                    held = []
+                if end > start:
+                    held.append(batch.slice(start, end - start))
+                last = key
+        if held and (found := meet(held)) is not None:
+            yield found
+
+    dealt = members.join(
+        members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    meeting = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = meeting.select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "component",
+        "size", "n", "bands", "odd")
+    return pairs.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high").mapInArrow(blocks, LINKS)
+
+
 def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples: int) -> DataFrame:
     """rep, component of the representatives that have links."""
     most = sketch_limit(similarity, samples)
@@ -222,53 +303,22 @@ def near_links(docs: DataFrame, classes: DataFrame, similarity: float, samples:
     # the original of a group of copies meets more members than any copy does, and makes the best hub
     weights = written(members.groupBy("rep").agg(F.sum("n").alias("weight")), "weights")
     members = written(members.join(weights, "rep").select("bucket", "rep", "size", "weight"), "members")
-    texts = written(
-        docs.withColumnRenamed("doc_id", "rep").join(weights.select("rep"), "rep").select("rep", "text").dropDuplicates(["rep"])
-        .join(classes.select("rep", "bands", "odd"), "rep"), "texts")
+    sets = written(shingle_table(docs, weights, classes), "sets")
     best = F.max(F.struct("weight", (-F.col("rep")).alias("rep")))
     hubs = written(members.groupBy("bucket").agg(best.alias("hub")), "hubs")
-    pairs = (
-        members.join(hubs, "bucket").groupBy(F.col("rep").alias("a")).agg((-F.max("hub")["rep"]).alias("b"))
-        .where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    )
-    pairs = near_enough(pairs, texts, most)
-    percent = round(100 * similarity)
-    used = tried = links = labels = None
-    lanes = 1
-    while True:
-        close = pairs.distinct()
-        close = written(close if tried is None else close.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = close if tried is None else tried.union(close)
-        found = written(confirmed(close, texts, similarity), "confirmed")
-        if labels is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(links)
-            labelled = members.select("bucket", "rep", "size", "weight").join(
-                labels.withColumnRenamed("node", "rep"), "rep", "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-            members = mixed_buckets(still_possible(mixed_buckets(labelled), texts, similarity))
-        fresh = members.where("component <> largest")
-        if used is not None:
-            fresh = fresh.join(used, ["bucket", "rep"], "left_anti")
-        lanes = min(lanes * HUBS, 1 << 40)
-        hubs = written(
-            fresh.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(lanes)).alias("lane"))
-            .agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"), "component", "size", "n", "bands", "odd")).alias("hub"))
-            .select("bucket", (-F.col("hub.rep")).alias("hub"), F.col("hub.component").alias("hub_component"),
-                    F.col("hub.size").alias("hub_size"), F.col("hub.n").alias("hub_n"),
-                    F.col("hub.bands").alias("hub_bands"), F.col("hub.odd").alias("hub_odd")), "hubs")
-        if hubs.isEmpty():
-            return labels.withColumnRenamed("node", "rep")
-        # what two documents have in common is at most what either shares with any other component
-        enough = F.least("n", "hub_n") * (100 + percent) >= percent * (F.col("size") + F.col("hub_size"))
-        # a pair that shares several buckets is made in the first of them, when its hub's turn comes there
-        first = F.get(F.array_intersect("bands", "hub_bands"), F.lit(0)) == F.col("bucket")
-        near = differing("odd", "hub_odd") <= most
-        pairs = members.join(hubs, "bucket").where(F.col("component") != F.col("hub_component")).where(
-            enough & near & first).select(
-            F.greatest("rep", "hub").alias("a"), F.least("rep", "hub").alias("b"))
-        served = hubs.select("bucket", F.col("hub").alias("rep"))
-        used = served if used is None else used.union(served)
+    first = written(
+        members.join(hubs, "bucket").groupBy(F.col("rep").alias("a")).agg((-F.max("hub")["rep"]).alias("b")).where("a <> b"),
+        "pairs")
+    links = written(confirmed(first, sets, similarity, most), "links")
+    labels = components(links)
+    labelled = members.select("bucket", "rep", "size").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
+    members = mixed_buckets(still_possible(mixed_buckets(labelled), sets, similarity))
+    close = written(close_pairs(members, similarity, most), "close")
+    found = written(confirmed(close, sets, similarity, most), "confirmed")
+    if not found.isEmpty():
+        labels = components(links.union(found))
+    return labels.withColumnRenamed("node", "rep")
 
 
 def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -292,6 +342,19 @@ def duplicate_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that have the least id of their group, with the columns of ``docs``."""
-    gone = duplicate_groups(docs, similarity).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    """One document of each group, the one with the least id, with the columns of ``docs``.
+
+    Of rows equal in id and text one stays.  Rows without an id are judged by their
+    text and come after all others.  Columns may have any other names.
+    """
+    key, gone, again = (unused(name, docs.columns) for name in ("key", "gone", "again"))
+    keyed = docs.withColumn(key, row_key())
+    groups = written(duplicate_groups(keyed.select(F.col(key).alias("doc_id"), "text"), similarity), "decisions")
+    dropped = groups.where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    repeated = written(groups.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again)), "again")
+    kept = keyed.join(dropped, F.col(key) == F.col(gone), "left_anti")
+    if not repeated.isEmpty():  # their texts alone are grouped
+        same = F.col(key) == F.col(again)
+        once = kept.join(repeated, same, "left_semi").dropDuplicates([key, "text"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)

@@ -5,7 +5,7 @@ duplicate cluster (documents with the same lower-cased words) and at most ``per_
 pieces of one source.  A longer document is cut into full sequences of its own and a
 rest, which is packed like a short document.
 
-Pieces are dealt by a hash of the id into shards of about ``SHARD`` pieces and
+Pieces are numbered and dealt by a hash of the number into shards of about ``SHARD`` pieces and
 packed within them, longest first; what leaves a task is one small row per
 piece, and a hot source or cluster is spread evenly over the shards.  In a shard,
 bins stand in order of their residual room.  Each bin carries a bitmap of its clusters and one bitmap
@@ -95,8 +95,11 @@ def pack(sizes: list[int], sources: list, clusters: list, capacity: int, per_sou
             for n, s, c in zip(sizes, sources, clusters, strict=True)]
 
 
-def pieces(docs: DataFrame, capacity: int) -> DataFrame:
-    """doc_id, part, n_words, source, cluster: the pieces of every document."""
+def pieces(docs: DataFrame, capacity: int, group: str | None = None) -> DataFrame:
+    """doc_id, part, n_words, source, cluster: the pieces of every document.
+
+    The cluster is the hash of column ``group``, or else of the lower-cased words.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,6 +109,8 @@ def pieces(docs: DataFrame, capacity: int) -> DataFrame:
                 words = ar.Words(texts[low:high], lower=True)
                 sums = ar.prefix_sums(words.hashes())
                 cluster = ar.span_hash(sums, words.first[:-1], words.counts).view("int64")
+                if group:
+                    cluster = batch.column("cluster").to_numpy()[low:high]
                 rows = [(low + i, part, min(capacity, n - part * capacity), c)
                         for i, (n, c) in enumerate(zip(words.counts.tolist(), cluster.tolist(), strict=True))
                         for part in range(math.ceil(n / capacity))]
@@ -115,13 +120,20 @@ def pieces(docs: DataFrame, capacity: int) -> DataFrame:
                      source.take(at), pa.array([r[3] for r in rows], pa.int64())],
                     names=["doc_id", "part", "n_words", "source", "cluster"])
 
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), "text",
+                        *([F.xxhash64(group).alias("cluster")] if group else []))
     return plain.mapInArrow(cut, "doc_id bigint, part int, n_words int, source string, cluster bigint")
 
 
-def best_fit(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard: int = SHARD) -> DataFrame:
-    """doc_id, part, n_words, source, cluster, bin_id (shard and number), bin_offset, bin_words of every piece."""
-    cut = written(pieces(docs, capacity), "pieces")
+def best_fit(
+    docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE, shard: int = SHARD, group: str | None = None
+) -> DataFrame:
+    """doc_id, part, n_words, source, cluster, bin_id (shard and number), bin_offset, bin_words of every piece.
+
+    ``group`` may name a column of duplicate clusters, such as the component ids of the near-duplicate search.
+    """
+    numbered = pieces(docs, capacity, group).withColumn("piece", F.monotonically_increasing_id())
+    cut = written(numbered, "pieces")
     shards = max(1, math.ceil(cut.count() / shard))
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
@@ -135,6 +147,6 @@ def best_fit(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SO
         rows["bin_id"] = rows["shard"].astype(str) + "-" + rows["number"].astype(str)
         return rows[["doc_id", "part", "n_words", "source", "cluster", "bin_id", "bin_offset", "bin_words"]]
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "part"), F.lit(shards)))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("piece"), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(
         fill, "doc_id long, part int, n_words int, source string, cluster long, bin_id string, bin_offset int, bin_words int")

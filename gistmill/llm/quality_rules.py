@@ -155,7 +155,7 @@ def quality_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``.  Texts are measured twice rather than shuffled."""
-    measured = measures(docs)
-    allowed = written(limits(measured, **options), "allowed")
-    return judge(measured, allowed).where("_kept").select(*docs.columns)
+    """The documents that are kept, with the columns of ``docs``, of any names.  Texts are measured twice rather than shuffled."""
+    allowed = written(limits(measures(docs.select("lang", "source", "text")), **options), "allowed")
+    rows = docs.select("lang", "source", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    return judge(measures(rows), allowed).where("_kept").select("row.*")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
@@ -18,6 +19,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """The id of a row, or, for a row without one, a number beyond all usual ids that its text gives.
+
+    So rows without an id come last, are judged like others, and are repeats of each other if their texts are equal.
+    """
+    without = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("bigint"), without)
+
+
 def unused(name: str, taken: Collection[str]) -> str:
     """``name``, with underscores behind it until no column of ``taken`` is called so (in any case)."""
     lowered = {c.lower() for c in taken}

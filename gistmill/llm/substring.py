@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
-from .stages import written
+from .stages import row_key, unused, written
 
 MIN_WORDS = 50
 REACH = 26
@@ -136,11 +136,17 @@ def changed_documents(docs: DataFrame, min_words: int = MIN_WORDS, reach: int =
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, reach: int = REACH) -> DataFrame:
-    """``docs`` with the repeated passages cut out of ``text``; untouched texts stay as they are."""
-    changed = changed_documents(docs, min_words, reach).select(
-        F.col("doc_id").alias("_changed_id"), F.col("kept").alias("_kept"))
-    joined = docs.join(changed, F.col("doc_id").cast("bigint") == F.col("_changed_id"), "left")
-    text = F.when(F.col("_changed_id").isNull(), F.col("text")).otherwise(F.col("_kept"))
+    """``docs`` with the repeated passages cut out of ``text``; untouched texts stay as they are.
+
+    Rows without an id count as later than all others, rows equal in id and text
+    as one document.  Columns may have any other names.
+    """
+    key, changed_id, left = (unused(name, docs.columns) for name in ("key", "changed_id", "left"))
+    keyed = docs.withColumn(key, row_key())
+    changed = changed_documents(keyed.select(F.col(key).alias("doc_id"), "text"), min_words, reach).select(
+        F.col("doc_id").alias(changed_id), F.col("kept").alias(left))
+    joined = keyed.join(changed, F.col(key) == F.col(changed_id), "left")
+    text = F.when(F.col(changed_id).isNull(), F.col("text")).otherwise(F.col(left))
     return joined.withColumn("text", text).select(*docs.columns)
 
 
