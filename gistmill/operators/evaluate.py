@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
 from ..functions.exprs import once
+from ..functions.long_sequences import long_lcs_length
 from ..functions.porter import stem_tokens
 from ..functions.sequences import lcs_length, ngrams
 from .sentences import join_picked, lead
@@ -56,6 +57,10 @@ def tokenised(long: DataFrame, stemmed: bool = False) -> DataFrame:
     )
 
 
+#: Steps of the comparison in the JVM that take as long as starting the one by bits, about.
+LONG_PAIRS = 1 << 16
+
+
 def rouge_n(tokens: DataFrame, sizes: Sequence[int] = (1, 2)) -> DataFrame:
     """(doc_id, model, n, recall): headline n-grams found in the summary, each at most as often as it occurs.
 
@@ -79,11 +84,19 @@ def rouge_n(tokens: DataFrame, sizes: Sequence[int] = (1, 2)) -> DataFrame:
     return grams.select("doc_id", "model", F.inline(found))
 
 
-def rouge_l(tokens: DataFrame) -> DataFrame:
-    """(doc_id, model, recall): longest common subsequence over headline length."""
+def rouge_l(tokens: DataFrame, long_pairs: int = LONG_PAIRS) -> DataFrame:
+    """(doc_id, model, recall): longest common subsequence over headline length.
+
+    Pairs whose lengths multiply to more than ``long_pairs`` are compared bit by bit, in Python; others in the JVM.
+    """
     size = F.size("reference")
-    lcs = lcs_length(F.col("reference"), F.col("candidate"))
-    return tokens.select("doc_id", "model", F.when(size > 0, lcs / size).otherwise(0.0).alias("recall"))
+    is_long = F.coalesce(size.cast("long") * F.size("candidate") > long_pairs, F.lit(False))
+
+    def recalls(rows: DataFrame, lcs: Callable[[Column, Column], Column]) -> DataFrame:
+        found = lcs(F.col("reference"), F.col("candidate"))
+        return rows.select("doc_id", "model", F.when(size > 0, found / size).otherwise(0.0).alias("recall"))
+
+    return recalls(tokens.where(~is_long), lcs_length).unionByName(recalls(tokens.where(is_long), long_lcs_length))
 
 
 def _coverage(words: Column) -> Column:
