@@ -24,6 +24,8 @@ more emitted windows, never a match.
 
 Defined results: null or empty texts and items match nothing; null ids of
 documents are kept; repeated documents or items give the same verdict for each.
+Very long texts are searched whole, repeated rows one by one; an empty table or benchmark gives no hits;
+``drop_contaminated`` judges rows without an id, too, and returns columns of any other names as they are.
 """
 
 from __future__ import annotations

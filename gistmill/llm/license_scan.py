@@ -9,6 +9,7 @@ interval lies within an interval already taken is suppressed.
 ``FAMILIES`` and ``FORMS`` are written by hand; the rules are their product.
 Defined results: a null or empty text has no words and score 0; repeated rows are
 scanned one by one; texts are scanned whole.
+An empty table gives no rows; repeated rows are scanned one by one; other columns are ignored.
 """
 
 from __future__ import annotations

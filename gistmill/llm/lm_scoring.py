@@ -20,6 +20,8 @@ part of the context, which is settled where the context's word is.
 Defined results: a null or empty text has no words and null losses and score;
 repeated rows count and are scored one by one; without target rows the target
 is the smoothed uniform model.
+Very long texts are counted whole; nothing depends on the order of rows or of ties; an empty table gives no
+rows; columns other than doc_id, text and the target are ignored.
 """
 
 from __future__ import annotations

@@ -23,6 +23,8 @@ bucket with a probability of at most ``MISS``; a pair above it with less.
 Defined results: a null or empty text has an empty set and is linked with
 nothing; one to four words make one shingle; exact repeats of a row (same id and
 text) are one document; a null id is alone and has a null component.
+Very long texts are compared whole; an empty table gives no rows; of a group the least id stays.
+``drop_near_duplicates`` judges rows without an id by their text and returns columns of any other names as they are.
 """
 
 from __future__ import annotations

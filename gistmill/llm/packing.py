@@ -17,6 +17,8 @@ resumes where it ended.
 
 Defined results: a null or empty text has no words and is not packed (no rows);
 null sources are one source; repeated rows are separate pieces of one cluster.
+Ties go by cluster, source, id and part; very long texts are cut into pieces of a full sequence; an empty table
+gives no rows; other columns are ignored, but for the one named as ``group``.
 """
 
 from __future__ import annotations

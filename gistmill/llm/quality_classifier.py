@@ -14,6 +14,7 @@ sparse dot product.
 Defined results: a null or empty text has no features and is scored by the bias
 alone; repeated rows are scored one by one; without labelled rows all scores are
 0.5; labels that are null or refer to no document are ignored.
+Very long texts are scored whole; an empty table gives no rows; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations

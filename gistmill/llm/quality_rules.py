@@ -11,6 +11,8 @@ of their group and kept if no measure passes its limit and no base rule fails.
 Only DataFrame functions are used.  Defined results: a null or empty text has no
 words and fails the base rules; null languages or sources form groups of their
 own; repeated rows are judged one by one.
+A value at its limit is kept; very long texts are measured whole; an empty table gives no rows; ``keep_good``
+returns columns of any other names as they are.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ of them, followed by at least ``min_words - reach + 2`` words of the passage.
 Fingerprints have 64 bits.  Defined results: a null or empty text has no words;
 a null ``doc_id`` is neither a source nor changed; exact repeats of a row
 (same id and text) are one document; an id must not stand for different texts.
+Very long texts are searched whole; of equal ids the texts must be equal; an empty table gives no rows;
+``remove_repeats`` returns columns of any other names as they are.
 """
 
 from __future__ import annotations

@@ -17,6 +17,7 @@ stretch, so a bucket's members meet by grouping, combined before the shuffle.
 Fingerprints have 64 bits; step 2 compares two of them.  Defined results: a null
 or empty text has no bytes; a null ``doc_id`` takes no part; repeated rows (same id and
 text) are two texts and repeat each other; an id must not stand for different texts.
+Very long texts are searched whole; an empty table gives no rows; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations

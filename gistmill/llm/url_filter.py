@@ -9,6 +9,8 @@ Only DataFrame and ML functions are used.  Defined results: a null URL, or one
 without ``://``, has an empty host and path and no rule; repeated rows are judged
 one by one; without labelled URLs of both verdicts the only one seen, or else
 ``allow``, holds for all.
+Very long URLs are judged whole, and repeated rows one by one; of equally long rules there is one only; an empty table
+gives no rows; other columns play no part in a verdict.
 """
 
 from __future__ import annotations
