@@ -1,4 +1,10 @@
-"""Documents to packed training sequences: five stages, each written as Parquet and read again by the next."""
+"""Documents to packed training sequences: five stages, each written as Parquet and read again by the next.
+
+All stages but the last return the columns of the documents, whatever their names.  A
+null or empty text has no words, which the rules reject first.  Rows without an id
+are judged by their text and come after all others.  Very long texts are worked
+on whole.  An empty table passes through all stages as an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +19,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents within the limits of their language and source."""
+    """Documents within the limits of their language and source; a value at its limit stays, repeated rows are judged one by one."""
     return quality_rules.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near duplicates."""
+    """One document, the one with the least id, of each group of near duplicates; of rows equal in id and text one stays."""
     return near_duplicates.drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document has."""
+    """Texts without the passages that a document with a smaller id has; a text may become empty, its row stays."""
     return substring.remove_repeats(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; items without an id or a text are held by none."""
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The bin and place of every piece of every document left."""
+    """The bin and place of every piece of every document left; a text without words has no piece."""
     return packing.best_fit(docs)
 
 
