@@ -29,6 +29,7 @@ HEADLINE = [
     "gbt_summary", "gbt_auc", "summary_textrank", "summary_local", "summary_table", "rouge_ngram", "rouge_lcs",
     "keyterm_coverage", "model_comparison", "model_comparison_stemmed", "sanitise_documents",
     "session_state", "prompt_messages", "offline_reply", "audit_rows", "csv_roundtrip",
+    "session_state_stream", "document_frequency_incremental", "distinct_words_sketched", "tfidf_auc",
 ]
 
 
