@@ -31,6 +31,7 @@ from ..sources import versions
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LINES = "session long, turn long, line string"
 RESOLVED = "session long, turn long, command string, argument string, doc_ref string"
@@ -109,17 +110,24 @@ def session_states(resolved: DataFrame, retention_ms: int | None = None) -> Data
 
 
 @contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """The state store that arbitrary state needs, for the streams started inside."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)
+def rocksdb(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """For the streams started inside: the state store that arbitrary state needs, in ``partitions``.
+
+    A checkpoint keeps the number it was begun with.  Each partition takes about 4 MB
+    of disk on its executor and a task a batch, however little state it has.
+    """
+    wanted = {PROVIDER: ROCKS} | ({PARTITIONS: str(partitions)} if partitions else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def publish(rows: DataFrame, table: str, batch_id: int) -> None:
@@ -135,7 +143,8 @@ class LiveAssistant:
     """Tables and checkpoints of a live log below ``folder``.
 
     ``raw`` (doc_id, title, text) and ``known_ids`` (doc_id) are bucketed by
-    doc_id into ``buckets``; both are looked up in their buckets.
+    doc_id into ``buckets``; both are looked up in their buckets.  State is kept
+    in ``partitions``, by default one for each core there is when the log begins.
     """
 
     spark: SparkSession
@@ -144,6 +153,7 @@ class LiveAssistant:
     known_ids: DataFrame
     buckets: int
     texts: assistant.PromptTexts = field(default_factory=assistant.PromptTexts)
+    partitions: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}"
@@ -185,7 +195,7 @@ class LiveAssistant:
             publish(assistant.prompt_messages(state, documents, self.texts), self.path("prompts"), batch_id)
             publish(assistant.audit_rows(state, documents), self.path("audit"), batch_id)
 
-        with rocksdb(self.spark):
+        with rocksdb(self.spark, self.partitions or self.spark.sparkContext.defaultParallelism):
             return self._started(session_states(resolved), batch, "answer")
 
     def _started(self, rows: DataFrame, batch, name: str) -> StreamingQuery:
