@@ -41,6 +41,7 @@ MODEL_COLUMNS = {
     "Spark ML GBT": "gbt_summary",
     "TextRank": "textrank_summary",
 }
+LEARNED_MODEL = "Spark ML GBT"
 
 # --- graph ranking and classifier -------------------------------------------
 DAMPING = 0.85

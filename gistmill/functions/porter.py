@@ -6,6 +6,7 @@ express; it runs as a vectorised UDF that stems each word of a batch once.
 
 from __future__ import annotations
 
+import os
 import sys
 
 import pandas as pd
@@ -142,6 +143,21 @@ def _stem_arrays(tokens: pd.Series) -> pd.Series:
     return tokens.map(lambda ts: [stems[t] for t in ts])
 
 
+@F.pandas_udf(T.StructType().add("stem", "string").add("cut", "integer").add("added", "string"))
+def _changed_ends(words: pd.Series) -> pd.DataFrame:
+    rows = []
+    for word in words:
+        result = stem(word) if len(word) >= MIN_STEMMED_LENGTH else word
+        same = len(os.path.commonprefix((word, result)))
+        rows.append((result, len(word) - same, result[same:]))
+    return pd.DataFrame(rows, columns=["stem", "cut", "added"])
+
+
+def changed_ends(word: Column) -> Column:
+    """Struct of the stem of a word, the letters it loses at its end and those it gets; for tables that hold each word once."""
+    return _changed_ends(word)
+
+
 def stem_tokens(tokens: Column) -> Column:
     """Stems of the tokens of four letters or more, the others unchanged."""
     return _stem_arrays(tokens)

@@ -71,7 +71,7 @@ def summarise(spark: SparkSession, out: str) -> Workspace:
     sources.write_summaries(ws.all_summaries, f"{out}/summaries")
     test_set = ~learner.is_training(F.col("doc_id"))
     long = evaluate.by_model(ws.all_summaries.filter(test_set))
-    tokens = ws.write_bucketed(evaluate.tokenised(long, stemmed=True), "test_tokens")
+    tokens = ws.stem(ws.write_bucketed(evaluate.tokenised(long), "test_tokens"), "test")
     results = evaluate.compare_models(long, tokens)
     sources.write_small_csv(results, f"{out}/model_results")
     return ws

@@ -8,6 +8,7 @@ longest common subsequence is the textbook table.
 from __future__ import annotations
 
 from ..functions import fixed_values as fv
+from ..functions import porter
 from ..operators.assistant import DEFAULTS, PromptTexts
 from . import request_log
 
@@ -341,6 +342,96 @@ def _rounded(sql: str, *columns: str) -> str:
     return f"SELECT * REPLACE ({changes}) FROM ({sql})"
 
 
+def _measure(n: str) -> str:
+    """How often a vowel is followed by a consonant in the first ``n`` letters, read off their shape ``s``."""
+    return f"((length(left(s, {n})) - length(replace(left(s, {n}), 'vc', ''))) // 2)"
+
+
+def _short_end(word: str) -> str:
+    shape = f"left(s, length({word}))"
+    return f"(({shape} LIKE '%cvc' AND right({word}, 1) NOT IN ('w', 'x', 'y')) OR {shape} = 'vc')"
+
+
+def _suffix_rules(rules: dict[str, str], least: int, extra: dict[str, str]) -> str:
+    """The rule of the longest fitting suffix alone; it asks for a measure beyond ``least`` before the suffix."""
+    cases = []
+    for suffix in sorted(rules, key=len, reverse=True):
+        stem = f"length(w) - {len(suffix)}"
+        measured = f"{stem} + 1" if suffix == "logi" else stem
+        cases.append(
+            f"WHEN w LIKE '%{suffix}' THEN CASE WHEN {_measure(measured)} > {least} AND {extra.get(suffix, 'true')} "
+            f"THEN left(w, {stem}) || '{rules[suffix]}' ELSE w END")
+    return f"CASE {' '.join(cases)} ELSE w END"
+
+
+#: The shape of a word: v for a vowel, c for any other character; y is a vowel after a consonant.
+SHAPE = """list_reduce(string_split(w, ''), lambda shape, x: shape || CASE
+    WHEN x IN ('a', 'e', 'i', 'o', 'u') OR (x = 'y' AND shape LIKE '%c') THEN 'v' ELSE 'c' END, '')"""
+_UNDOUBLED = f"""
+    CASE WHEN NOT cut THEN w WHEN right(w, 2) IN ('at', 'bl', 'iz') THEN w || 'e'
+         WHEN length(w) > 1 AND w[-1] = w[-2] AND left(s, length(w)) LIKE '%c'
+           THEN CASE WHEN w[-1] IN ('l', 's', 'z') THEN w ELSE left(w, length(w) - 1) END
+         WHEN {_measure("length(w)")} = 1 AND {_short_end("w")} THEN w || 'e' ELSE w END"""
+_E = "length(w) - 1"
+_NO_E = f"""
+    CASE WHEN w LIKE '%e' AND ({_measure(_E)} > 1 OR ({_measure(_E)} = 1 AND NOT {_short_end(f"left(w, {_E})")}))
+         THEN left(w, {_E}) ELSE w END"""
+_PAST = "CASE WHEN w LIKE '%ed' THEN 2 WHEN w LIKE '%ing' THEN 3 END"
+#: The published steps in their order, each over the words ``w`` of the one before and their shapes ``s``.
+STEPS = [
+    """CASE WHEN w LIKE '%ies' THEN left(w, length(w) - CASE length(w) WHEN 4 THEN 1 ELSE 2 END)
+            WHEN w LIKE '%sses' THEN left(w, length(w) - 2)
+            WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, length(w) - 1) ELSE w END""",
+    _UNDOUBLED,
+    """CASE WHEN w LIKE '%y' AND length(w) > 2 AND s[length(w) - 1] = 'c' THEN left(w, length(w) - 1) || 'i' ELSE w END""",
+    f"CASE WHEN w LIKE '%alli' AND {_measure('length(w) - 4')} > 0 THEN left(w, length(w) - 2) ELSE w END",
+    _suffix_rules(porter.STEP_2, 0, {}),
+    _suffix_rules(porter.STEP_3, 0, {}),
+    _suffix_rules(dict.fromkeys(porter.STEP_4, ""), 1, {"ion": "w[length(w) - 3] IN ('s', 't')"}),
+    _NO_E,
+    f"CASE WHEN w LIKE '%ll' AND {_measure(_E)} > 1 THEN left(w, {_E}) ELSE w END",
+]
+
+
+def _stem_tables() -> dict[str, tuple[list[str], str]]:
+    """``stems`` (word, stem) of the words in ``plain``, and ``rtok`` with every word replaced."""
+    irregular = ", ".join(f"({_quoted(w)}, {_quoted(stem)})" for w, stem in porter.IRREGULAR.items())
+    tables = {
+        "plain": TABLES["rtok"],
+        "stem_words": (["plain"], f"""
+            SELECT DISTINCT word, word AS w FROM (SELECT unnest(ref || cand) AS word FROM plain)
+            WHERE length(word) >= {porter.MIN_STEMMED_LENGTH}"""),
+    }
+    last = "stem_words"
+    for i, step in enumerate(STEPS):
+        source = f"SELECT *, {SHAPE} AS s FROM {last}"
+        if step is _UNDOUBLED:  # the ending is cut first
+            source = f"""
+                SELECT word, s, cut, CASE
+                    WHEN w LIKE '%ied' THEN left(w, length(w) - CASE length(w) WHEN 4 THEN 1 ELSE 2 END)
+                    WHEN w LIKE '%eed' THEN CASE WHEN {_measure("length(w) - 3")} > 0 THEN left(w, length(w) - 1) ELSE w END
+                    WHEN cut THEN left(w, length(w) - {_PAST}) ELSE w END AS w
+                FROM (SELECT *, w NOT LIKE '%ied' AND w NOT LIKE '%eed' AND {_PAST} IS NOT NULL
+                             AND contains(left(s, length(w) - {_PAST}), 'v') AS cut FROM ({source}))"""
+        tables[f"stem_{i}"] = ([last], f"SELECT word, {step} AS w FROM ({source})")
+        last = f"stem_{i}"
+    tables["stems"] = ([last], f"""
+        SELECT word, coalesce(i.stem, w) AS stem FROM {last} LEFT JOIN (VALUES {irregular}) i(irregular, stem) ON word = irregular""")
+    tables["rtok"] = (["plain", "stems"], """
+        SELECT p.doc_id, p.model, coalesce(list(coalesce(stem, t.word) ORDER BY i) FILTER (side = 'ref'), []) AS ref,
+               coalesce(list(coalesce(stem, t.word) ORDER BY i) FILTER (side = 'cand'), []) AS cand
+        FROM plain p
+        LEFT JOIN (SELECT doc_id, model, 'ref' AS side, unnest(ref) AS word, unnest(range(len(ref))) AS i FROM plain
+                   UNION ALL SELECT doc_id, model, 'cand', unnest(cand), unnest(range(len(cand))) FROM plain) t
+          ON t.doc_id = p.doc_id AND t.model = p.model
+        LEFT JOIN stems ON stems.word = t.word
+        GROUP BY p.doc_id, p.model""")
+    return tables
+
+
+STEMMED = _stem_tables()
+
+
 IN_USE = (["bodies", "state"], f"""
     SELECT doc_ref AS doc_id, {_sanitise("text", 12000)} AS text FROM bodies
     WHERE doc_ref IN (SELECT doc_ref FROM state) OR doc_ref IN (SELECT set_ref FROM state)""")
@@ -446,6 +537,13 @@ ORACLES: dict[str, str] = {
     "rouge_ngram": _with(
         f"SELECT * REPLACE (round(recall, 6) AS recall), 1::BIGINT AS n FROM ({_grams(1)}) UNION ALL "
         f"SELECT * REPLACE (round(recall, 6) AS recall), 2::BIGINT AS n FROM ({_grams(2)})", "rtok"),
+    "stem_dictionary": _with("SELECT * FROM stems", "stems", **STEMMED),
+    "rouge_ngram_stemmed_untrained": _with(
+        f"SELECT * REPLACE (round(recall, 6) AS recall), 1::BIGINT AS n FROM ({_grams(1)}) UNION ALL "
+        f"SELECT * REPLACE (round(recall, 6) AS recall), 2::BIGINT AS n FROM ({_grams(2)})", "rtok", **STEMMED),
+    "rouge_lcs_stemmed_untrained": _with(_rounded("SELECT * FROM lcs", "recall"), "lcs", **STEMMED),
+    "model_comparison_stemmed_untrained": _with(
+        MEANS, "r1", "r2", "lcs", "coverage", "sizes", r1=(["rtok"], _grams(1)), r2=(["rtok"], _grams(2)), **STEMMED),
     "rouge_lcs": _with(_rounded("SELECT * FROM lcs", "recall"), "lcs"),
     "keyterm_coverage": _with(_rounded("SELECT * FROM coverage", "coverage"), "coverage"),
     "compression": _with(_rounded("SELECT * FROM sizes", "ratio"), "sizes"),

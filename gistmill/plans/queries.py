@@ -8,9 +8,10 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import tokens as tk
-from ..operators import assistant, clean, eda, evaluate, increments, learner, local_summary, sentences, textrank
+from ..operators import assistant, clean, eda, evaluate, increments, learner, local_summary, sentences, stems, textrank
 from ..sources import corpus, sinks
 from ..streaming import redaction
 from .workspace import Workspace, workspace
@@ -286,6 +287,34 @@ def rouge_ngram_stemmed(ws: Workspace) -> DataFrame:
     return evaluate.rouge_n(ws.stemmed_tokens)
 
 
+@query
+def stem_dictionary(ws: Workspace) -> DataFrame:
+    """Every word of headlines and untrained summaries with its stem, of the dictionary that tokens are stemmed by."""
+    words = stems.vocabulary(_untrained(ws.all_tokens)).select("word")
+    return words.join(ws.stem_dictionary.select("word", "stem"), "word")
+
+
+def _untrained(rows: DataFrame) -> DataFrame:
+    """Without the classifier's summaries, which SQL has no model for."""
+    return rows.where(F.col("model") != fv.LEARNED_MODEL)
+
+
+@query
+def rouge_ngram_stemmed_untrained(ws: Workspace) -> DataFrame:
+    return evaluate.rouge_n(_untrained(ws.stemmed_tokens))
+
+
+@query
+def rouge_lcs_stemmed_untrained(ws: Workspace) -> DataFrame:
+    return evaluate.rouge_l(_untrained(ws.stemmed_tokens))
+
+
+@query
+def model_comparison_stemmed_untrained(ws: Workspace) -> DataFrame:
+    """The comparison by stems of the models that need no training."""
+    return evaluate.compare_models(_untrained(evaluate.by_model(ws.all_summaries)), _untrained(ws.stemmed_tokens))
+
+
 @query
 def rouge_lcs(ws: Workspace) -> DataFrame:
     return evaluate.rouge_l(ws.tokens)

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import assistant, clean, eda, evaluate, increments, learner, textrank, weights
+from ..operators import assistant, clean, eda, evaluate, increments, learner, stems, textrank, weights
 from ..operators import sentences as sentence_ops
 from ..session import shared_folder
 from ..sources import bucket_count, check_unique, ingest, read_documents, spread, write_bucketed
@@ -188,8 +188,29 @@ class Workspace:
 
     @cached_property
     def stemmed_tokens(self) -> DataFrame:
-        pairs = evaluate.by_model(self.all_summaries)
-        return self.write_bucketed(evaluate.tokenised(pairs, stemmed=True), "stemmed_tokens")
+        return self.stem(self.all_tokens, "all")
+
+    @cached_property
+    def all_tokens(self) -> DataFrame:
+        return self.write_bucketed(evaluate.tokenised(evaluate.by_model(self.all_summaries)), "all_tokens")
+
+    @cached_property
+    def stem_dictionary(self) -> DataFrame:
+        return self.write_dictionary(self.all_tokens, "all")
+
+    def write_dictionary(self, tokens: DataFrame, name: str) -> DataFrame:
+        return self.write(stems.stem_dictionary(stems.vocabulary(tokens)), f"stem_dictionary_{name}")
+
+    def stem(self, tokens: DataFrame, name: str, hot_terms: int = weights.HOT_TERMS) -> DataFrame:
+        """A bucketed table of tokens with stems in their place, by a dictionary that is written first."""
+        known = self.stem_dictionary if name == "all" else self.write_dictionary(tokens, name)
+        entries = self.write(stems.changes(known), f"stem_changes_{name}_{hot_terms}")
+        least = weights.least_hot_df(entries, hot_terms)
+        hot, rare = self.write(stems.hot_changes(entries, least), f"hot_stems_{name}_{hot_terms}"), None
+        if least > 1:
+            rare = self.write_bucketed(
+                stems.rare_changes(tokens, entries, least, self.buckets), f"rare_stems_{name}_{hot_terms}")
+        return self.write_bucketed(stems.stemmed(tokens, hot, rare), f"stemmed_tokens_{name}_{hot_terms}")
 
     @cached_property
     def ranged_words(self) -> DataFrame:
