@@ -455,6 +455,7 @@ MEANS = """
 
 ORACLES: dict[str, str] = {
     "ingest_title_body": _with("SELECT * FROM raw", "raw"),
+    "ingest_title_body_stream": _with("SELECT * FROM raw", "raw"),
     "decode_entities": f"SELECT page_id, {_decode('html')} AS decoded FROM pages",
     "clean_documents": _with("SELECT * FROM clean", "clean"),
     "sentence_table": _with("SELECT * REPLACE (array_to_string(terms, ' ') AS terms) FROM sent", "sent"),

@@ -48,6 +48,12 @@ def ingest_title_body(ws: Workspace) -> DataFrame:
     return corpus.ingest(corpus.spread(corpus.read_documents(ws.spark, ws.input("documents"))))
 
 
+@query
+def ingest_title_body_stream(ws: Workspace) -> DataFrame:
+    """The loader over articles that arrive in two parts, with labels that come before, with or after them."""
+    return ws.arriving.labelled()
+
+
 @query
 def decode_entities(ws: Workspace) -> DataFrame:
     pages = corpus.spread(ws.spark.read.parquet(ws.input("pages")))

@@ -22,7 +22,7 @@ from ..operators import sentences as sentence_ops
 from ..session import shared_folder
 from ..sources import bucket_count, check_unique, ingest, read_documents, spread, write_bucketed
 from ..sources.corpus import BUCKET_BYTES, input_bytes
-from ..streaming import sessions
+from ..streaming import articles, sessions
 from . import request_log
 
 
@@ -79,11 +79,24 @@ class Workspace:
     @cached_property
     def raw(self) -> DataFrame:
         """doc_id, split, category, title, text of every article."""
-        articles = read_documents(self.spark, self.input("documents"))
-        raw = self.write_bucketed(ingest(articles, partitions=self.buckets), "raw")
+        documents = read_documents(self.spark, self.input("documents"))
+        raw = self.write_bucketed(ingest(documents, partitions=self.buckets), "raw")
         check_unique(raw)
         return raw
 
+    @cached_property
+    def arriving(self) -> articles.ArrivingCorpus:
+        """The documents as they arrive in two parts, most labels behind their articles."""
+        corpus = articles.ArrivingCorpus(self.spark, self.path("arriving"))
+        rows = read_documents(self.spark, self.input("documents")).withColumn("arrived", F.current_timestamp())
+        part = F.pmod(F.xxhash64("raw_id"), F.lit(4))
+        for texts, labels in ((part < 2, part == 0), (part >= 2, part != 0)):
+            rows.where(texts).select("raw_id", "article", "arrived").write.mode("append").parquet(self.path("new_articles"))
+            rows.where(labels).select("raw_id", "labels", "arrived").write.mode("append").parquet(self.path("new_labels"))
+            corpus.run(articles.arriving(self.spark, self.path("new_articles"), articles.ARTICLES),
+                       articles.arriving(self.spark, self.path("new_labels"), articles.LABELS))
+        return corpus
+
     @cached_property
     def docs(self) -> DataFrame:
         """Clean documents that passed the length gate."""

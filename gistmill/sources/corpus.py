@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ FULL_SPLIT_BYTES = 128 << 20
 BUCKET_BYTES = 64 << 20
 
 
+def id_below(root: str) -> Column:
+    """The path of a row's file below ``root``."""
+    return F.element_at(F.split(F.col("_metadata.file_path"), F.concat(F.lit("\\Q"), F.lit(root), F.lit("/\\E"))), -1)
+
+
 def read_article_files(spark: SparkSession, path: str, root: str, labels: DataFrame | None = None) -> DataFrame:
     """Articles stored one per file; the id is the path below ``root``.
 
@@ -24,8 +30,7 @@ def read_article_files(spark: SparkSession, path: str, root: str, labels: DataFr
     files = (
         spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
         .select(
-            F.element_at(F.split(F.col("_metadata.file_path"), F.concat(F.lit("\\Q"), F.lit(root), F.lit("/\\E"))), -1)
-            .alias("raw_id"),
+            id_below(root).alias("raw_id"),
             F.col("value").alias("article"),
         )
     )
@@ -44,19 +49,22 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def ingest(articles: DataFrame, decode: bool = True, partitions: int | None = None) -> DataFrame:
+def ingest(
+    articles: DataFrame, decode: bool = True, partitions: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Loader projection: title and body, flat id, split, first label.
 
     ``decode=False`` leaves character references alone, for corpora known to
     hold none; the whole projection then runs inside the JVM.  ``partitions``
     hashes the articles on their id first: the one shuffle of the package, done
     while rows are smallest, which also spreads an input of few large files.
+    Columns of ``keep`` stay behind the others.
     """
     keyed = articles.select(
         tx.flat_id(F.col("raw_id")).alias("doc_id"),
         tx.split_of(F.col("raw_id")).alias("split"),
         tx.first_label(F.col("labels")).alias("category"),
-        "article",
+        "article", *keep,
     )
     if partitions:
         keyed = keyed.repartition(partitions, "doc_id")
@@ -67,7 +75,7 @@ def ingest(articles: DataFrame, decode: bool = True, partitions: int | None = No
     cut = keyed.select(
         "doc_id", "split", "category",
         decoded(tx.first_line(F.col("article"))).alias("title"),
-        decoded(tx.after_first_line(F.col("article"))).alias("text"),
+        decoded(tx.after_first_line(F.col("article"))).alias("text"), *keep,
     )
     title = tx.title_case(tx.strip_space(F.col("title")))
     text = tx.collapse_space(F.col("text"))
