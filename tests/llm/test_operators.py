@@ -322,8 +322,8 @@ def test_losses_of_small_models(spark):
     assert [got[i].n_words for i in (1, 2, 3)] == [6, 6, 2]
 
 
-@pytest.mark.parametrize("hot,least", [(lm_scoring.HOT, lm_scoring.LEAST), (1 << 40, 1 << 40), (1 << 40, 1)])
-def test_losses_as_by_exact_counts(spark, docs, rows, hot, least):
+@pytest.mark.parametrize("chunk_bytes,part_bytes", [(lm_scoring.CHUNK_BYTES, lm_scoring.PART_BYTES), (10_000, 20_000), (1, 1 << 40), (50_000, 50)])
+def test_losses_as_by_exact_counts(spark, docs, rows, chunk_bytes, part_bytes):
     words = {d: t.encode().lower().split() for d, t in rows.items()}
     word, pair = [Counter(), Counter()], [Counter(), Counter()]
     for d, w in words.items():
@@ -338,7 +338,7 @@ def test_losses_as_by_exact_counts(spark, docs, rows, hot, least):
             out -= math.log((p + (pair[k][w[i - 1], x] if i else 0)) / (lm_scoring.PRIOR + (word[k][w[i - 1]] if i else 0)))
         return out / len(w)
 
-    got = lm_scoring.cross_entropy_difference(docs, F.col("doc_id") % 3 == 0, hot, least).collect()
+    got = lm_scoring.cross_entropy_difference(docs, F.col("doc_id") % 3 == 0, chunk_bytes, part_bytes).collect()
     assert sorted(r.doc_id for r in got) == sorted(words)
     for r in got:
         w = words[r.doc_id]
