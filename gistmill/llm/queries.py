@@ -36,13 +36,9 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-entropy difference of every document: documents labelled 1 against the whole corpus."""
-    good = (
-        _table(spark, folder, "labels").where("quality = 1")
-        .select(F.col("doc_id").alias("good_id")).distinct()
-    )
+    good = _table(spark, folder, "labels").where("quality = 1")
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    marked = docs.join(good, F.col("doc_id") == F.col("good_id"), "left")
-    return lm_scoring.cross_entropy_difference(marked, F.col("good_id").isNotNull())
+    return lm_scoring.cross_entropy_difference(lm_scoring.with_membership(docs, good), F.col("in_target"))
 
 
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -322,6 +322,18 @@ def test_losses_of_small_models(spark):
     assert [got[i].n_words for i in (1, 2, 3)] == [6, 6, 2]
 
 
+@pytest.mark.parametrize("maps", [lm_scoring.MAPS, 0])
+def test_membership(spark, maps):
+    ids = [1, 2, 32_768, 32_769, 40_000, 0, -1, -32_768, -40_000, 1 << 40, None, 7, 7]
+    asked = [*ids, 3, 32_770, 8, -2, 1 << 41, -(1 << 40), 9, 16]
+    docs = spark.createDataFrame([(i, "x", "mine") for i in asked], "doc_id bigint, text string, number string")
+    known = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    got = lm_scoring.with_membership(docs, known, maps=maps)
+    assert got.columns == ["doc_id", "text", "number", "in_target"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        ((i, "x", "mine", i is not None and i in ids) for i in asked), key=repr)
+
+
 @pytest.mark.parametrize("chunk_bytes,part_bytes", [(lm_scoring.CHUNK_BYTES, lm_scoring.PART_BYTES), (10_000, 20_000), (1, 1 << 40), (50_000, 50)])
 def test_losses_as_by_exact_counts(spark, docs, rows, chunk_bytes, part_bytes):
     words = {d: t.encode().lower().split() for d, t in rows.items()}
