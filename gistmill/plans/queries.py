@@ -440,7 +440,8 @@ def audit_append(ws: Workspace) -> DataFrame:
 def sanitise_stream(ws: Workspace) -> DataFrame:
     """The documents read as a stream, sanitised, and appended until none is left."""
     schema = ws.spark.read.parquet(ws.input("documents")).schema
-    stream = ws.spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(ws.input_dir)
+    # a pattern that only this name fits: as a source of a stream, it may stand for one file or for a folder of files
+    stream = ws.spark.readStream.schema(schema).parquet(f"{ws.input_dir}/documents.parque[t]")
     path = ws.fresh_path("sanitised")
     redaction.write_stream(redaction.sanitised_stream(stream), path, path + "_checkpoint").awaitTermination()
     return ws.spark.read.parquet(path)

@@ -81,3 +81,13 @@ def test_audit_lines(spark, tmp_path):
         sources.append_audit_lines(rows, f"{tmp_path}/audit")
     lines = [r["value"] for r in spark.read.text(f"{tmp_path}/audit").collect()]
     assert lines == ["2026-01-02T03:04:05+00:00 | ask | doc_sha256=ba7816bf8f01"] * 2
+
+
+def test_stream_reads_a_folder_of_document_files(spark, tmp_path):
+    from gistmill.plans.queries import QUERIES
+
+    rows = [(i, f"mail a{i}@b.org now") for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(99, "other")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet.old")
+    found = QUERIES["sanitise_stream"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [(i, "mail [EMAIL] now") for i in range(6)]
