@@ -67,15 +67,19 @@ def deep_nodes(shared: DataFrame, min_words: int, later_only: bool) -> DataFrame
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             texts = ar.text_bytes(batch.column("text"))
-            rooted = batch.column("suffixes").to_pylist()
+            # as flat arrays: a Python object for each suffix of a batch would take many times their size
+            suffixes = batch.column("suffixes")
+            ends = np.concatenate(([0], np.cumsum(suffixes.value_lengths().to_numpy(zero_copy_only=False))))
+            flat = suffixes.flatten()
+            at, reach_back, later = (flat.field(name).to_numpy(zero_copy_only=False) for name in ("place", "back", "later"))
             for low, high in ar.blocks(texts):
                 words = ar.Words(texts[low:high])
                 sums = ar.prefix_sums(words.hashes())
                 owners, places = [], []
                 for i in range(high - low):
-                    found = np.array([(s["place"], s["back"]) for s in rooted[low + i] if s["later"] or not later_only],
-                                     np.int64).reshape(-1, 2)
-                    start = np.unique(ar.spread_back(found[:, 0], found[:, 1]))
+                    own = slice(ends[low + i], ends[low + i + 1])
+                    wanted = later[own] if later_only else np.ones(len(later[own]), bool)
+                    start = np.unique(ar.spread_back(at[own][wanted].astype(np.int64), reach_back[own][wanted].astype(np.int64)))
                     start = start[start + min_words <= words.counts[i]]
                     owners.append(np.full(len(start), i))
                     places.append(start)
@@ -157,10 +161,13 @@ def word_digest(docs: DataFrame) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [t.split() for t in ar.text_bytes(batch.column("text"))]
+            counts, digests = [], []
+            for text in ar.text_bytes(batch.column("text")):  # the words of one text at a time, not of the batch
+                words = text.split()
+                counts.append(len(words))
+                digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(w) for w in words], pa.int64()),
-                 pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())],
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_words", "digest"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(

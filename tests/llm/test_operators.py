@@ -372,3 +372,29 @@ def test_queries_without_python_on_the_main_path(spark):
     for df in (judged, kept):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_memory_of_the_words_of_a_batch(spark):
+    """A batch of many texts is worked on text by text, so its words never stand in memory together."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = ["abc def ghi " * 500] * 400
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+
+    class Taken:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            tracemalloc.start()
+            out = list(run(iter([batch])))
+            self.peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            return out
+
+    taken = Taken()
+    (rows,) = substring.word_digest(taken)
+    assert set(rows.column("n_words").to_pylist()) == {1500}
+    assert taken.peak < 3 * sum(map(len, texts))
