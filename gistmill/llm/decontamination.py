@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import arrays as ar
-from .stages import row_key, unused, written
+from .stages import row_key, unused, with_membership, written
 
 WINDOW = 6
 COVERAGE = 0.5
@@ -191,5 +191,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, with the columns of ``docs``; rows without an id are judged by their text."""
     key, gone = unused("key", docs.columns), unused("gone", docs.columns)
     keyed = docs.withColumn(key, row_key())
-    found = matches(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(gone)).distinct()
-    return keyed.join(found, F.col(key) == F.col(gone), "left_anti").select(*docs.columns)
+    found = written(
+        matches(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark).select("doc_id").distinct(), "contaminated")
+    return with_membership(keyed, found, gone, key=key).where(~F.col(gone)).select(*docs.columns)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as ar
 from .components import components
-from .stages import row_key, unused, written
+from .stages import row_key, unused, with_membership, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -352,9 +352,8 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     key, gone, again = (unused(name, docs.columns) for name in ("key", "gone", "again"))
     keyed = docs.withColumn(key, row_key())
     groups = written(duplicate_groups(keyed.select(F.col(key).alias("doc_id"), "text"), similarity), "decisions")
-    dropped = groups.where("not kept").select(F.col("doc_id").alias(gone)).distinct()
     repeated = written(groups.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(again)), "again")
-    kept = keyed.join(dropped, F.col(key) == F.col(gone), "left_anti")
+    kept = with_membership(keyed, groups.where("not kept"), gone, key=key).where(~F.col(gone))
     if not repeated.isEmpty():  # their texts alone are grouped
         same = F.col(key) == F.col(again)
         once = kept.join(repeated, same, "left_semi").dropDuplicates([key, "text"])

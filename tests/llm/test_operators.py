@@ -398,3 +398,16 @@ def test_memory_of_the_words_of_a_batch(spark):
     (rows,) = substring.word_digest(taken)
     assert set(rows.column("n_words").to_pylist()) == {1500}
     assert taken.peak < 3 * sum(map(len, texts))
+
+
+def test_stages_that_drop_documents_move_no_text(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for kept in (near_duplicates.drop_near_duplicates(docs), decontamination.drop_contaminated(docs, bench)):
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert 0 < kept.count() < docs.count()
+            assert "SortMergeJoin" not in plan and not re.search(r"Exchange hashpartitioning\(key", plan)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
