@@ -43,3 +43,16 @@ def test_only_test_documents_are_predicted(ws):
     assert ws.predictions.filter(F.col("doc_id").startswith("training")).count() == 0
     summaries = ws.all_summaries.withColumn("has", F.col("gbt_summary").isNotNull())
     assert summaries.filter(F.col("has") == F.col("doc_id").startswith("training")).count() == 0
+
+
+def test_trees_are_grown_on_every_sentence(spark):
+    """More training sentences than the 2,000,000 that were once the most, in more parts than cores."""
+    n = 2_100_000
+    rows = spark.range(0, n, 1, 40).select(
+        F.concat(F.lit("training_"), (F.col("id") / 30).cast("long")).alias("doc_id"), (F.col("id") % 30).cast("int").alias("sent_idx"),
+        (F.col("id") % 30 < 2).cast("double").alias("label"), *[(F.col("id") % 7).cast("double").alias(c) for c in fv.FEATURES if c != "sent_idx"])
+    held_out = spark.range(100).select(
+        F.lit("test_1").alias("doc_id"), F.col("id").cast("int").alias("sent_idx"), F.lit(1.0).alias("label"),
+        *[F.lit(1.0).alias(c) for c in fv.FEATURES if c != "sent_idx"])
+    model = learner.fit_gbt(rows.unionByName(held_out), maxIter=1, maxDepth=1)
+    assert model.trees[0]._java_obj.rootNode().impurityStats().rawCount() == n
