@@ -114,3 +114,20 @@ def test_ties_go_to_the_earlier_sentence(spark):
     )
     assert dict(sentences.pick_top(scores, "s", 2).collect()) == {"a": [1, 2], "b": [0]}
     assert dict(sentences.pick_top(scores, "s", 1).collect()) == {"a": [1], "b": [0]}
+
+
+@pytest.mark.parametrize("words_at_once", [1, 7, 1 << 18])
+def test_documents_ranked_together_or_alone(words_at_once):
+    import pyarrow as pa
+
+    from gistmill.functions.graph import rank_documents
+
+    texts = [*TEXTS, [], ["Alone."], None, *TEXTS]
+    words = [t and [re.findall(r"\w\w+", s.lower()) for s in t] for t in texts]
+    words = [w and [[x for x in ws if x not in STOP] for ws in w] for w in words]
+    column = pa.array([["cut off"]] + [[None] if w is None else w for w in words], pa.list_(pa.list_(pa.string())))[1:]
+    sizes, similarity, ranks = rank_documents(column, 0.85, 50, words_at_once)
+    assert list(sizes) == [1 if t is None else len(t) for t in texts] and len(similarity) == sum(sizes)
+    expected = [r for t in texts for r in (dense_ranks(["."] if t is None else t) if t != [] else [])]
+    assert list(ranks) == pytest.approx(expected, abs=1e-12)
+    assert [len(x) for x in rank_documents(pa.array([], column.type), 0.85, 50)] == [0, 0, 0]
