@@ -80,3 +80,14 @@ def test_sql_of_the_published_steps_equals_the_function(ws):
         **oracles.STEMMED, "plain": ([], f"SELECT {listed}::VARCHAR[] AS ref, []::VARCHAR[] AS cand")})
     found = dict(duckdb.sql(sql).fetchall())
     assert found == {w: stem(w) for w in listed if len(w) > 3}
+
+
+def test_many_changed_words_of_a_document(spark):
+    """More changed words than one map holds, in both rows of a document; no list of places is collected."""
+    listed = [w for w in words(3000, 11) if len(w) > 3][:700]
+    made = [("d", "a", listed[:9], listed), ("d", "b", [], listed[::-1] + listed[:3]), ("e", "a", ["cats"], [])]
+    tokens = spark.createDataFrame(made, "doc_id string, model string, reference array<string>, candidate array<string>")
+    entries = stems.changes(stems.stem_dictionary(stems.vocabulary(tokens))).cache()
+    result = stems.stemmed(tokens, stems.hot_changes(entries, 1))
+    assert sorted((r.doc_id, r.model, r.reference, r.candidate) for r in result.collect()) == expected(made)
+    assert "collect_list" not in result._jdf.queryExecution().executedPlan().toString()
