@@ -50,3 +50,11 @@ def test_both_forms_agree_and_no_row_is_lost(spark):
     assert by_jvm == by_bits and len(by_jvm) == 60
     whole = {r.doc_id: r.recall for r in evaluate.rouge_l(df).collect()}
     assert len(whole) == 63 and whole[100] == 0.0 and whole[101] == 0.0 and whole[102] == 1.0
+
+
+def test_usual_pairs_are_compared_by_bits(spark):
+    """A headline of nine words and a summary of 60 take the quicker form."""
+    df = spark.createDataFrame([(1, "m", list("abcdefghi"), list("ihgfedcba") + ["x"] * 51)],
+                               "doc_id long, model string, reference array<string>, candidate array<string>")
+    assert 9 * 60 > evaluate.LONG_PAIRS
+    assert [r.recall for r in evaluate.rouge_l(df).collect()] == [pytest.approx(1 / 9)]

@@ -252,3 +252,26 @@ def test_tables_are_written_bucket_by_bucket(spark, tmp_path):
     assert ws.buckets >= 16 and again.select("task").distinct().count() == ws.buckets
     assert spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") == "true"
     ws.forget()
+
+
+def test_ranks_are_made_without_sorting_words(ws):
+    plan = plan_of(textrank.textrank(ws.docs))
+    assert not re.search(r"Window|Sort|Aggregate|Join", plan)
+
+
+def test_features_sort_no_texts(spark, ws):
+    from gistmill.operators import learner
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(learner.sentence_features(ws.docs, ws.scores))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_coverage_reads_terms_alone(ws):
+    long = evaluate.by_model(ws.summaries)
+    assert "p{Z}" not in plan_of(evaluate.coverage(long)) and "[^a-zA-Z]" not in plan_of(evaluate.compression(long))
+    assert rows(evaluate.coverage(long)) == rows(evaluate.measure_words(long).select("doc_id", "model", "coverage"))
+    assert rows(evaluate.compression(long)) == rows(evaluate.measure_words(long).select("doc_id", "model", "words", "ratio"))

@@ -113,3 +113,10 @@ def test_counts(one):
     assert one("In 1987 Acme lost 5", tx.digit_count) == 5
     assert one("In 1987 Acme lost", tx.capital_ratio) == 0.5
     assert one("a  b", tx.word_count) == 3
+
+
+def test_sentence_breaks_are_those_of_the_pattern(spark):
+    texts = ["One. Two.  \n\t Three", 'He said "go." "Why?" (Yes.) No', " A. B", "a. b. C", "x. Y. \x0bZ", "", ". A", "end. "]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    found = [r[0] for r in df.select(tk.split_sentences(F.col("x"))).collect()]
+    assert found == [r[0] for r in df.select(F.filter(F.split("x", fv.SENTENCE_BREAK), lambda s: F.length(s) > 0)).collect()]
